@@ -33,6 +33,12 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=35).drop("kept")
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.sharding import hilbert_shards
 
@@ -46,6 +52,22 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), END_ID)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.decontam import find_leaks
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark"), F.col("text"), [F.col("doc_id")])
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.lines import drop_frequent_lines
 
@@ -53,6 +75,13 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.bwt import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=200)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op10_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm import sketch as S
 
@@ -99,6 +128,42 @@ FROM d JOIN g USING (rid)
 """
 
 
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+h AS (SELECT rid, i, md5(array_to_string(w[i : i + 34], ' ')) AS k FROM s),
+r AS (SELECT k FROM h GROUP BY k HAVING count(*) > 1),
+c AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS p FROM h SEMI JOIN r USING (k)),
+l AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+g AS (SELECT rid, count(c.p) AS n_removed, string_agg(word, ' ' ORDER BY l.p) FILTER (c.p IS NULL) AS kept
+      FROM l LEFT JOIN c USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (rid)
+"""
+
+LEAKS_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+n AS (SELECT item_id, w, least(10, len(w)) AS m FROM b WHERE len(w) > 0),
+win AS (SELECT item_id, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS k FROM n),
+lens AS (SELECT DISTINCT m FROM win),
+pos AS (SELECT rid, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM d, lens WHERE len(w) >= m),
+occ AS (SELECT rid, m, i, array_to_string(w[i : i + m - 1], ' ') AS k FROM pos),
+hit AS (SELECT DISTINCT rid, m, i, item_id FROM occ JOIN win USING (m, k)),
+cov AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT rid, unnest(range(i, i + m)) AS p FROM hit) GROUP BY rid),
+it AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM hit GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (rid) LEFT JOIN it USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express on whole tables."""
-    return {"op8_line_dedup": LINES_SQL}
+    return {
+        "op3_substring_dedup": SUBSTRING_SQL,
+        "op6_benchmark_decontamination": LEAKS_SQL,
+        "op8_line_dedup": LINES_SQL,
+    }
