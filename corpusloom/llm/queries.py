@@ -68,6 +68,13 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.minhash import classes
+
+    found = classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "class_id")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.lines import drop_frequent_lines
 
