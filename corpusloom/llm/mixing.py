@@ -7,7 +7,7 @@ taken follows a seeded hash, so reruns agree.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.llm.common import nested, word_count
+from corpusloom.session import written
 
 #: Buckets that the documents of one source and length are dealt to, so no task ranks a hot length alone.
 SALTS = 256
@@ -114,7 +115,7 @@ def mix_sources(
         row[source].alias("source"),
         F.xxhash64(F.lit(seed), row[key], row[text]).alias("draw"),
     ).withColumn("salt", F.pmod(F.col("draw"), F.lit(SALTS)).cast("int"))
-    hist = base.groupBy("source", "size", "salt").agg(F.count("*").alias("n")).cache()
+    hist = written(base.groupBy("source", "size", "salt").agg(F.count("*").alias("n")), "lengths")
     sizes = [(r["source"], int(r["words"])) for r in hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).collect()]
     goal = targets(sizes, weights, share, most)
     spark = documents.sparkSession
