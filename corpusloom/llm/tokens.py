@@ -14,6 +14,7 @@ lost leaves at most unused files, never mixed ones.
 
 from __future__ import annotations
 
+import itertools
 import os
 import uuid
 import zlib
@@ -30,7 +31,9 @@ from corpusloom.llm.common import small_batches
 from corpusloom.session import scratch_path, written
 
 #: Distinct words whose ids a worker keeps.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
+#: A special token of the vocabulary, put between words that are encoded together.
+SEPARATOR = "<|endoftext|>"
 #: Longer words are encoded each time.
 CACHE_LENGTH = 64
 
@@ -47,25 +50,52 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = end_id
+        self.end, self.separator = end_id, self.tokenizer.token_to_id(SEPARATOR)
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.units: dict[str, int] = {"": 1}
         self.pool = np.array([self.end], dtype=np.uint32)
-        self.start = np.array([0], dtype=np.int64)
-        self.length = np.array([1], dtype=np.int64)
+        self.start = np.array([0, 0], dtype=np.int64)
+        self.length = np.array([1, 0], dtype=np.int64)
 
     def learn(self, unknown: list[str]) -> None:
-        at, pools, lengths = len(self.start), [self.pool], []
-        for w, e in zip(unknown, self.tokenizer.encode_batch(unknown, add_special_tokens=False), strict=True):
-            self.index[w] = at + len(lengths)
-            lengths.append(len(e.ids))
-            pools.append(np.array(e.ids, dtype=np.uint32))
-        begin = len(self.pool) + np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
-        self.pool = np.concatenate(pools)
-        self.start = np.concatenate([self.start, begin])
-        self.length = np.concatenate([self.length, np.array(lengths, dtype=np.int64)])
+        """Keep the ids of words, each made of a stem and the punctuation after it, which the tokenizer splits too."""
+        halves = [part for w in unknown for part in _halves(w)]
+        self.learn_units(sorted(set(halves) - self.units.keys()))
+        order = np.fromiter(map(self.units.__getitem__, halves), dtype=np.int64, count=len(halves))
+        ids, lengths = self._gather(order)
+        own = lengths[::2] + lengths[1::2]
+        self._extend(self.index, unknown, ids, np.cumsum(own) - own, own)
+
+    def learn_units(self, unknown: list[str]) -> None:
+        """Many units are one text for the tokenizer, with a special token between them."""
+        plain = [w for w in unknown if SEPARATOR not in w]
+        texts = [SEPARATOR.join(plain[i : i + 512]) + SEPARATOR for i in range(0, len(plain), 512)]
+        ids = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate([*ids, np.zeros(0, np.uint32)])
+        stops = np.flatnonzero(flat == self.separator)
+        if len(stops) != len(plain):
+            raise ValueError("the separator is no special token of the vocabulary")
+        starts = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else stops
+        self._extend(self.units, plain, flat, starts, stops - starts)
+        for w in (w for w in unknown if SEPARATOR in w):
+            own = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype=np.uint32)
+            self._extend(self.units, [w], own, np.zeros(1, np.int64), np.array([len(own)]))
+
+    def _extend(self, index: dict[str, int], names: list[str], ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        at = len(self.start)
+        index.update(zip(names, range(at, at + len(names)), strict=True))
+        self.start = np.concatenate([self.start, starts + len(self.pool)])
+        self.length = np.concatenate([self.length, lengths])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def _gather(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of entries one after another, and the number of each."""
+        lengths = self.length[order]
+        after = np.cumsum(lengths)
+        return self.pool[np.repeat(self.start[order] - (after - lengths), lengths) + np.arange(after[-1] if len(after) else 0)], lengths
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id after it, and the number of ids of each."""
@@ -76,7 +106,7 @@ class WordEncoder:
             w = t.replace("\n", " ").split(" ") if t else []
             pieces.append(w)
             counts.append(len(w) + 1)
-        unknown = {w for p in pieces for w in set(p)} - self.index.keys()
+        unknown = set().union(*pieces) - self.index.keys()
         if unknown:
             self.learn(sorted(unknown))
         order = np.zeros(sum(counts), dtype=np.int64)
@@ -84,17 +114,23 @@ class WordEncoder:
         words = np.ones(len(order), dtype=bool)
         words[ends] = False
         get = self.index.__getitem__
-        order[words] = np.fromiter((i for p in pieces for i in map(get, p)), dtype=np.int64, count=len(order) - len(ends))
+        order[words] = np.fromiter(map(get, itertools.chain.from_iterable(pieces)), dtype=np.int64, count=len(order) - len(ends))
         for w in unknown:
             if len(w) > CACHE_LENGTH:
                 del self.index[w]
-        lengths = self.length[order]
-        after = np.cumsum(lengths)
-        ids = self.pool[np.repeat(self.start[order] - (after - lengths), lengths) + np.arange(after[-1] if len(after) else 0)]
-        totals = after[ends]
+        ids, lengths = self._gather(order)
+        totals = np.cumsum(lengths)[ends]
         return ids, np.diff(totals, prepend=0)
 
 
+def _halves(word: str) -> tuple[str, str]:
+    """A Latin word in lower case and the punctuation that ends it; any other word whole, and nothing."""
+    stem = word.rstrip(".,;:!?")
+    if stem.isalpha() and max(stem) < "\u0130":
+        return stem.lower(), word[len(stem) :]
+    return word, ""
+
+
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
