@@ -98,6 +98,8 @@ def op10_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
+        (F.col("text") == F.col("edited")).alias("same_edited"),
+        (F.col("text") == F.col("next_text")).alias("same_next"),
         F.array(S.sketch(F.col("text")), S.sketch(F.col("edited")), S.sketch(F.col("next_text"))).alias("s"),
     )
     from corpusloom.llm.common import let
@@ -107,8 +109,8 @@ def op10_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(
             S.encoded(own).alias("fingerprint"),
             S.encoded(new).alias("edited_fingerprint"),
-            S.likeness(own, new).alias("near_edited"),
-            S.likeness(own, following).alias("near_next"),
+            S.likeness(own, new, F.col("same_edited")).alias("near_edited"),
+            S.likeness(own, following, F.col("same_next")).alias("near_next"),
             S.containment(own, new).alias("contained_in_edited"),
         )
 

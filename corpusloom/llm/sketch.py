@@ -6,14 +6,19 @@ containment can be estimated between documents of very unequal lengths.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.llm.common import let, words
+from corpusloom.session import written
 
 #: Words of a shingle, and the share of all hashes that a sketch retains.
 SHINGLE, FRACTION = 5, 0.25
+#: Rows of a range of keys that one task orders, and the quantiles that ranges start from.
+RANGE_ROWS, CUTS = 2000, 256
 
 
 def sketch(text: Column, shingle: int = SHINGLE, fraction: float = FRACTION) -> Column:
@@ -37,10 +42,12 @@ def merge(a: Column, b: Column) -> Column:
     return F.sort_array(F.array_union(a, b))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity of what two sketches stand for; 1 if both are empty."""
+def likeness(a: Column, b: Column, equal: Column | None = None) -> Column:
+    """Estimated Jaccard similarity of what two sketches stand for. Two empty sketches tell nothing: 1 if the texts
+    are known to be ``equal``, else 0."""
     both, all_ = F.size(F.array_intersect(a, b)), F.size(a) + F.size(b)
-    return F.when(all_ == 0, 1.0).otherwise(both / (all_ - both).cast("double"))
+    unknown = F.when(equal, 1.0).otherwise(0.0) if equal is not None else F.lit(0.0)
+    return F.when(all_ == 0, unknown).otherwise(both / (all_ - both).cast("double"))
 
 
 def containment(a: Column, b: Column) -> Column:
@@ -58,35 +65,46 @@ def fingerprints(documents: DataFrame, text: str = "text", key: str = "doc_id")
     return documents.select(F.col(f"`{key}`").alias("doc_id"), sketch(F.col(f"`{text}`")).alias("sketch"))
 
 
-def with_next(documents: DataFrame, text: str = "text", key: str = "doc_id", buckets: int = 64) -> DataFrame:
+def _bucket(key: Column, cuts: list[int], parts: int) -> Column:
+    """The range of a key in falling order: cuts by binary search, each range split evenly into ``parts``."""
+    if not cuts:
+        return F.when(key.isNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
+    steps = F.array(*[F.lit(1 << b) for b in range(len(cuts).bit_length() - 1, -1, -1)])
+    above = F.aggregate(steps, F.lit(0), lambda i, s: F.when(F.coalesce(F.get(bounds, i + s - 1) > key, F.lit(False)), i + s).otherwise(i))
+
+    def split(i: Column) -> Column:
+        high, low = F.get(bounds, i - 1), F.get(bounds, i)
+        share = (high - key).cast("double") / F.greatest(high - low, F.lit(1)).cast("double")
+        part = F.least(F.lit(parts - 1), F.greatest(F.lit(0), F.floor(share * parts)))
+        return i.cast("long") * parts + F.coalesce(part, F.lit(0))
+
+    return F.when(key.isNull(), F.lit((len(cuts) + 1) * parts)).otherwise(let(above, split)).cast("long")
+
+
+def with_next(documents: DataFrame, text: str = "text", key: str = "doc_id", range_rows: int = RANGE_ROWS) -> DataFrame:
     """``doc_id``, ``text`` and the text of the next document in descending key order as ``next_text``.
 
     The first follows the last. Null texts count as empty; null keys come last; rows of equal key are ordered by a
-    hash of their text. The keys are dealt to ranges with bounds from their quantiles; the first row of each range is
-    copied to the range before it, so every range is worked on alone.
+    hash of their text. The keys are dealt to ranges of about ``range_rows`` rows; the first row of each range is
+    copied to the range before it, so every range is worked on alone. An empty table gives an empty result.
     """
     base = documents.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("tie", F.xxhash64("text"))
-    quantiles = base.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10_000).alias("q")).first()["q"] or []
-    cuts = sorted(set(quantiles), reverse=True)
-    bucket = F.lit(0)
-    for c in cuts:  # at most buckets - 1 comparisons
-        bucket = bucket + (F.col("doc_id") < c).cast("int")
-    bucket = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(bucket)
-    base = base.withColumn("bucket", bucket)
-    rank = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.col("tie"))
-    heads = base.groupBy("bucket").agg(F.max(rank).alias("head")).collect()  # one row for each range
-    heads.sort(key=lambda r: r["bucket"])
-    if not heads:
-        return base.select("doc_id", "text", F.col("text").alias("next_text"))
-    guests = None
-    for i, r in enumerate(heads):
-        same = (F.col("bucket") == r["bucket"]) & (rank["id"] == r["head"]["id"]) & (F.col("tie") == r["head"]["tie"])
-        guests = F.when(same, heads[i - 1]["bucket"]) if guests is None else guests.when(same, heads[i - 1]["bucket"])
-    dealt = base.withColumn("copy", F.explode(F.array_compact(F.array(F.lit(-1), guests))))
-    dealt = dealt.withColumn("guest", F.col("copy") >= 0).withColumn("bucket", F.when(F.col("copy") >= 0, F.col("copy")).otherwise(F.col("bucket")))
-    order = Window.partitionBy("bucket").orderBy("guest", F.desc_nulls_last("doc_id"), F.desc("tie"))
-    followed = dealt.withColumn("next_text", F.lead("text").over(order)).where("not guest")
+    n = base.agg(F.count("*").alias("n"), F.percentile_approx("doc_id", [i / CUTS for i in range(1, CUTS)], 10_000).alias("q")).first()
+    cuts = sorted(set(n["q"] or []), reverse=True)
+    parts = max(1, math.ceil(n["n"] / range_rows / CUTS))
+    base = base.withColumns({"tie": F.xxhash64("text"), "bucket": _bucket(F.col("doc_id"), cuts, parts)})
+    head = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"), F.col("tie").alias("t"))
+    heads = base.groupBy("bucket").agg(F.max(head).alias("head"))
+    # one row for each range, which is what a window without partitions gets
+    order = Window.orderBy("bucket")
+    heads = heads.select("head", F.col("bucket").alias("own"), F.coalesce(F.lag("bucket").over(order), F.max("bucket").over(Window.partitionBy())).alias("before"))
+    h = written(heads, "heads")
+    first = (F.col("bucket") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("head.id")) & (F.col("tie") == F.col("head.t"))
+    guests = base.join(F.broadcast(h), first).select("doc_id", "text", "tie", F.col("before").alias("bucket"), F.lit(True).alias("guest"))
+    dealt = base.withColumn("guest", F.lit(False)).unionByName(guests)
+    falling = Window.partitionBy("bucket").orderBy("guest", F.desc_nulls_last("doc_id"), F.desc("tie"))
+    followed = dealt.withColumn("next_text", F.lead("text").over(falling)).where("not guest")
     return followed.select("doc_id", "text", "next_text")
 
 

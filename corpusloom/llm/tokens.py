@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -131,6 +132,15 @@ def _halves(word: str) -> tuple[str, str]:
     return word, ""
 
 
+def encoder_for(path: str, end_id: int) -> WordEncoder:
+    """One encoder for each worker process: its words stay known from task to task. Functions travel by value, so the
+    process keeps it where every copy of this function finds it."""
+    kept = vars(sys).setdefault("_corpusloom_encoders", {})
+    if (path, end_id) not in kept:
+        kept[path, end_id] = WordEncoder(path, end_id)
+    return kept[path, end_id]
+
+
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
@@ -151,7 +161,7 @@ def write_ids(documents: DataFrame, tokenizer: str, end_id: int = 2, vocabulary:
     dealt = thin.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer, end_id)
+        encoder = encoder_for(tokenizer, end_id)
         part = TaskContext.get().partitionId()
         name = f"{folder}/{part:06d}-{uuid.uuid4().hex}"
         files, path = _open(name)
