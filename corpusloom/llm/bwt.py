@@ -49,10 +49,15 @@ def merge(a: Transform, b: Transform, depth: int) -> tuple[np.ndarray, np.ndarra
     block = np.zeros(n, dtype=np.int32)
     lcp = np.full(n, depth, dtype=np.int32)
     parted = np.zeros(n, dtype=bool)
-    symbols = np.empty(n, dtype=np.uint16)
+    # few bytes occur in a text, so their ranks fit one byte and sort in one pass
+    used = np.flatnonzero(np.bincount(np.concatenate([a.before, b.before]), minlength=257))
+    narrow = np.zeros(257, dtype=np.uint8 if len(used) <= 256 else np.uint16)
+    narrow[used] = np.arange(len(used))
+    first, second = narrow[a.before], narrow[b.before]
+    symbols = np.empty(n, dtype=narrow.dtype)
     for k in range(depth):
-        symbols[~side] = a.before
-        symbols[side] = b.before
+        symbols[~side] = first
+        symbols[side] = second
         order = np.argsort(symbols, kind="stable")[ends:]  # the rows before an end lead to no suffix
         new = np.concatenate([head, side[order]])
         if len(order):
@@ -80,7 +85,9 @@ def merging(window: int):
         hashes = np.array([r[0] for r in rows], dtype=np.int64)
         many = np.array([r[2] for r in rows], dtype=np.int64) > 1
         _, group, sizes = np.unique(hashes, return_inverse=True, return_counts=True)
-        shared = np.flatnonzero(sizes[group] > 1)  # others are one content alone
+        open_ = np.bincount(group, weights=~many) > 0
+        # others are one content alone, or have all been found more than once as whole segments
+        shared = np.flatnonzero((sizes[group] > 1) & open_[group])
         out = [np.full(r[4], m, dtype=bool) for r, m in zip(rows, many.tolist(), strict=True)]
         if not len(shared):
             return out
