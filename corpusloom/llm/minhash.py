@@ -6,12 +6,16 @@ sample with a probability of their weighted Jaccard similarity. Samples are band
 candidates, and the exact weighted Jaccard similarity of their sets decides.
 
 Exact copies are one text from the start. Inside a bucket every text is compared with one text of the bucket, and the
-links merge their classes. A bucket that still holds several classes is settled by pairs if it is small, and otherwise
-split by further bands, in which the same is done again; so no bucket is expanded into all its pairs, and none is cut.
+links merge their classes. A small bucket that still holds several classes is settled by the pairs of different classes
+whose samples agree enough; a large one is split by further bands, in which the same is done again; so no large bucket
+is expanded into its pairs, and none is cut.
 """
 
 from __future__ import annotations
 
+import math
+import sys
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +31,12 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: At 0.8, a pair shares no band with probability (1 - 0.8 ** 3) ** 12 < 0.0002.
 BANDS, ROWS = 12, 3
 #: Counters of word document frequencies. Their error is a fixed share of all documents at any size of the corpus.
-COUNTERS = 1 << 20
-#: A bucket of up to so many texts is settled by pairs.
-SMALL = 16
+COUNTERS = 1 << 18
+#: A bucket of up to so many texts is settled by pairs of different classes; of more than ``FEW`` after its centre.
+SMALL, FEW = 512, 16
+#: Of all samples, the share that a pair's must agree in to be verified: at a similarity of 0.8 and 36 samples,
+#: fewer than half agree with a probability below 0.0001.
+AGREE = 0.5
 #: Members of a bucket that one task compares with its centre.
 SALT_ROWS = 1000
 _POOL = 1 << 16
@@ -57,21 +64,21 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
                 total[spots] += 1
                 n += 1
         step = COUNTERS // 64
-        chunks = [total[i : i + step].astype("<i8").tobytes() for i in range(0, COUNTERS, step)]
+        chunks = [zlib.compress(total[i : i + step].astype("<i8").tobytes(), 1) for i in range(0, COUNTERS, step)]
         yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array(chunks, pa.binary()), pa.array([n] + [0] * 63, pa.int64())], names=["chunk", "counts", "n"])
 
     def add(key: tuple, batch: pa.Table) -> pa.Table:
         total = np.zeros(COUNTERS // 64, dtype=np.int64)
         for c in batch.column("counts").to_pylist():
-            total += np.frombuffer(c, dtype="<i8")
+            total += np.frombuffer(zlib.decompress(c), dtype="<i8")
         n = sum(batch.column("n").to_pylist())
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary()), "n": pa.array([n], pa.int64())})
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([zlib.compress(total.astype("<i8").tobytes(), 1)], pa.binary()), "n": pa.array([n], pa.int64())})
 
     schema = "chunk int, counts binary, n long"
     rows = docs.select("text").mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema).orderBy("chunk").collect()
     if not rows:
         return 0, np.zeros(COUNTERS, dtype=np.int64)
-    return rows[0]["n"], np.concatenate([np.frombuffer(r["counts"], dtype="<i8") for r in rows])
+    return rows[0]["n"], np.concatenate([np.frombuffer(zlib.decompress(r["counts"]), dtype="<i8") for r in rows])
 
 
 def inverse_frequencies(n: int, df: np.ndarray) -> np.ndarray:
@@ -129,11 +136,19 @@ class Sampler:
         return out
 
 
+def sampler_for(samples: int) -> Sampler:
+    """One sampler for each worker process, kept where every copy of this function finds it."""
+    kept = vars(sys).setdefault("_corpusloom_samplers", {})
+    if samples not in kept:
+        kept[samples] = Sampler(samples)
+    return kept[samples]
+
+
 def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
     """``tid`` and its band hashes, for texts with words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler, weights = Sampler(bands * rows), idf.value
+        sampler, weights = sampler_for(bands * rows), idf.value
         for b in batches:
             tids, sets = [], []
             for tid, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -149,13 +164,20 @@ def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
                 key = _mix(key * np.uint64(0xC2B2AE3D27D4EB4F) + x[:, :, j])
             flat = pa.array(key.view(np.int64).reshape(-1))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([pa.array(tids, pa.binary()), lists], names=["tid", "bands"])
+            short = pa.array((x.reshape(-1) & np.uint64(0x7FFF)).astype(np.int16))
+            samples = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands * rows, pa.int32()), short)
+            yield pa.RecordBatch.from_arrays([pa.array(tids, pa.binary()), lists, samples], names=["tid", "bands", "samples"])
+
+    return docs.select("tid", "text").mapInArrow(sign, "tid binary, bands array<bigint>, samples array<smallint>")
+
 
-    return docs.select("tid", "text").mapInArrow(sign, "tid binary, bands array<bigint>")
+def agreement(a: Column, b: Column) -> Column:
+    """In how many places two texts' samples agree."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """The pairs (``x``, ``y``) whose exact weighted Jaccard similarity reaches the threshold."""
+def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
+    """The pairs (``x``, ``y``) with their exact weighted Jaccard similarity."""
     centres = pairs.groupBy("y").agg(F.count("*").alias("n")).withColumn("salts", F.ceil(F.col("n") / SALT_ROWS).cast("int"))
     members = pairs.join(centres, "y").select("y", F.pmod(F.xxhash64("x"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "x")
     heads = centres.select("y", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("y").alias("x"))
@@ -170,10 +192,10 @@ def verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataF
                 s = weighted_set(t, weights)
                 if kind == 0:
                     centre, own = y, s
-                elif centre == y and (j := similarity(own, s)) >= threshold:
+                elif centre == y:
                     xs.append(x)
                     ys.append(y)
-                    js.append(j)
+                    js.append(similarity(own, s))
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary()), pa.array(js, pa.float64())], names=["x", "y", "similarity"])
 
     return dealt.mapInArrow(compare, "x binary, y binary, similarity double")
@@ -196,6 +218,28 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _unsettled(state: DataFrame, seen: DataFrame, labels: DataFrame, found: DataFrame, reach: float) -> DataFrame:
+    """What is left of buckets whose centre has been met; those above ``SMALL`` are dealt to smaller ones by one
+    further band.
+
+    The centre has met everyone. 1 less the similarity is a metric, so a text farther than twice ``reach`` from the
+    centre has no link to a text that the centre is linked to, and one at a distance d only to those at a distance
+    of d - ``reach`` or more. Texts that the centre is linked to stay only where such a partner may be left.
+    """
+    large = seen.where("not by_pairs").select("bucket", "y", (F.col("n") > SMALL).alias("split"))
+    large = large.join(labels.select(F.col("tid").alias("y"), F.col("label").alias("ylabel")), "y")
+    rows = state.join(large, "bucket").where(F.col("tid") != F.col("y")).join(labels.select("tid", "label"), "tid")
+    far = found.select(F.col("x").alias("tid"), "y", (1 - F.col("similarity")).alias("far"))
+    rows = rows.join(far, ["tid", "y"], "left").withColumn("out", F.col("label") != F.col("ylabel"))
+    near = F.min(F.when(F.col("out") & (F.col("far") <= 2 * reach), F.col("far")))
+    edge = rows.groupBy("bucket").agg(near.alias("edge"))
+    rows = rows.join(edge, "bucket").where(F.col("out") | (F.coalesce("far", F.lit(1.0)) > reach) | (F.col("far") >= F.col("edge") - reach))
+    further = F.filter(F.transform("bands", lambda _, i: i), lambda i: i > F.col("last"))
+    dealt = rows.withColumn("next", F.explode(F.when(F.col("split"), further).otherwise(F.array("last"))))
+    bucket = F.when(F.col("split"), F.xxhash64("bucket", F.get("bands", F.col("next")))).otherwise(F.col("bucket"))
+    return dealt.select("tid", "bands", "samples", F.col("next").alias("last"), bucket.alias("bucket"), (~F.col("split")).alias("tried"))
+
+
 def near_duplicates(
     documents: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
 ) -> tuple[DataFrame, DataFrame]:
@@ -209,34 +253,40 @@ def near_duplicates(
     small_batches(spark)
     docs = documents.select(text_id(F.col(f"`{text}`")).alias("tid"), F.col(f"`{text}`").cast("string").alias("text"))
     idf = spark.sparkContext.broadcast(inverse_frequencies(*document_frequencies(docs)))
-    signed = written(signatures(docs, idf, bands, rows).groupBy("tid").agg(F.first("bands").alias("bands")), "signed")
-    buckets = signed.select("tid", "bands", F.posexplode("bands").alias("last", "bucket"))
+    signed = written(signatures(docs, idf, bands, rows).groupBy("tid").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples")), "signed")
+    least = math.ceil(AGREE * bands * rows)
+    buckets = signed.select("tid", "bands", "samples", F.posexplode("bands").alias("last", "bucket"))
     full = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    state = written(buckets.join(full.select("bucket"), "bucket", "left_semi"), "buckets")
-    mine = state.select("tid").distinct()
-    texts = written(docs.join(mine, "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text")), "texts")
-    labels = written(mine.select("tid", F.col("tid").alias("label")), "classes")
-    links, level = None, 1
+    state = written(buckets.join(full, "bucket"), "buckets")
+    # a text that others are copies of shares bands with more texts than its copies do, and makes the best centre
+    degrees = state.groupBy("tid").agg(F.sum("n").alias("degree"))
+    mine = written(degrees, "degrees")
+    texts = written(docs.join(mine.select("tid"), "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text")), "texts")
+    labels = written(mine.select("tid", F.col("tid").alias("label"), "degree"), "classes")
+    state = state.drop("n").withColumn("tried", F.lit(False))
+    links = None
     while True:
         placed = state.join(labels, "tid")
-        seen = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("z"), F.min(F.struct(F.xxhash64("tid", F.lit(level)).alias("o"), "tid", "label")).alias("c"))
-        seen = written(seen.where("a != z").select("bucket", "n", F.col("c.tid").alias("y"), F.col("c.label").alias("ylabel")), "open")
+        seen = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("z"), F.max("tried").alias("met"), F.max(F.struct("degree", "tid", "label")).alias("c"))
+        by_pairs = (F.col("n") <= FEW) | F.col("met") & (F.col("n") <= SMALL)
+        seen = written(seen.where("a != z").select("bucket", "n", by_pairs.alias("by_pairs"), F.col("c.tid").alias("y"), F.col("c.label").alias("ylabel")), "open")
         if not seen.limit(1).count():
             break
-        opened = written(placed.join(seen, "bucket"), "placed")
-        star = opened.where((F.col("label") != F.col("ylabel")) & (F.col("n") > SMALL)).select(F.col("tid").alias("x"), "y")
-        few = opened.where(F.col("n") <= SMALL).select("bucket", "tid", "label")
-        other = few.select("bucket", F.col("tid").alias("y"), F.col("label").alias("other"))
-        pairs = few.join(other, "bucket").where((F.col("tid") < F.col("y")) & (F.col("label") != F.col("other"))).select(F.col("tid").alias("x"), "y")
-        new = written(verified(written(star.union(pairs).distinct(), "pairs"), texts, idf, threshold), "links")
+        opened = placed.join(seen, "bucket")
+        star = opened.where((F.col("label") != F.col("ylabel")) & ~F.col("by_pairs")).select(F.col("tid").alias("x"), "y")
+        few = opened.where("by_pairs").select("bucket", "tid", "label", "samples")
+        other = few.select(F.col("bucket").alias("b"), F.col("tid").alias("y"), F.col("label").alias("other"), F.col("samples").alias("theirs"))
+        likely = (F.col("tid") < F.col("y")) & (F.col("label") != F.col("other")) & (agreement(F.col("samples"), F.col("theirs")) >= least)
+        pairs = few.join(other, (F.col("bucket") == F.col("b")) & likely).select(F.col("tid").alias("x"), "y")
+        found = written(verified(written(star.union(pairs).distinct(), "pairs"), texts, idf), "similarities")
+        new = found.where(F.col("similarity") >= threshold)
         links = new if links is None else links.union(new)
-        named = new.join(labels.select(F.col("tid").alias("x"), F.col("label").alias("lx")), "x").join(labels.select(F.col("tid").alias("y"), F.col("label").alias("ly")), "y")
-        merged = components(named.select(F.col("lx").alias("x"), F.col("ly").alias("y")))
-        labels = written(labels.join(merged, labels["label"] == merged["node"], "left").select("tid", F.coalesce(merged["label"], labels["label"]).alias("label")), "classes")
-        large = opened.where(F.col("n") > SMALL).select("tid", "bands", "last", "bucket")
-        state = large.select("tid", "bands", "bucket", F.explode(F.filter(F.transform("bands", lambda _, i: i), lambda i: i > F.col("last"))).alias("next"))
-        state = written(state.select("tid", "bands", F.col("next").alias("last"), F.xxhash64("bucket", F.get("bands", F.col("next"))).alias("bucket")), "buckets")
-        level += 1
+        if new.limit(1).count():
+            named = new.join(labels.select(F.col("tid").alias("x"), F.col("label").alias("lx")), "x").join(labels.select(F.col("tid").alias("y"), F.col("label").alias("ly")), "y")
+            merged = components(named.select(F.col("lx").alias("x"), F.col("ly").alias("y")))
+            labels = labels.join(merged, labels["label"] == merged["node"], "left").select("tid", F.coalesce(merged["label"], labels["label"]).alias("label"), "degree")
+            labels = written(labels, "classes")
+        state = written(_unsettled(state, seen, labels, found, 1 - threshold), "buckets")
     if links is None:
         links = spark.createDataFrame([], "x binary, y binary, similarity double")
     return labels, links
@@ -244,7 +294,7 @@ def near_duplicates(
 
 def classes(documents: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
     """Each input row, as struct ``row``, with ``class_id``: the least key of its class (see ``near_duplicates``)."""
-    labels, _ = near_duplicates(documents, text, key, **how)
+    labels = near_duplicates(documents, text, key, **how)[0].drop("degree")
     named = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), text_id(F.col(f"`{text}`")).alias("tid")).join(labels, "tid", "left")
     named = named.withColumn("label", F.coalesce("label", "tid"))
     least = named.groupBy("label").agg(F.min(F.col("row")[key]).alias("class_id"))
@@ -253,7 +303,7 @@ def classes(documents: DataFrame, text: str = "text", key: str = "doc_id", **how
 
 def one_of_each(documents: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
     """One row of each class, the one of least key (of equal keys, by a hash of the text)."""
-    labels, _ = near_duplicates(documents, text, key, **how)
+    labels = near_duplicates(documents, text, key, **how)[0].drop("degree")
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
     named = documents.select(row.alias("row"), text_id(F.col(f"`{text}`")).alias("tid")).join(labels, "tid", "left")
     order = F.struct(F.col("row")[key].isNull(), F.col("row")[key], F.col("tid"))
