@@ -1,9 +1,11 @@
 """Suffix-array dedup over bytes by merging Burrows-Wheeler transforms.
 
-Shards of segments are each sorted once. Their transforms are merged by refining an interleave: starting from all rows
-of one before all rows of the other, each round deals the rows out by the symbol that precedes them, stably, after
-which the interleave is right to one symbol more. The round in which two neighbouring rows part gives their common
-prefix, and rows that have not parted after as many rounds as a window is long are a repeated interval. No suffix is
+Shards of segments are each sorted once. Their transforms are merged by refining an interleave of the two, which is
+known by its cuts: a cut says how many rows of each shard stand before it, and parts rows that differ. The first cuts
+stand between first symbols. A round takes the cuts that the round before has found and carries them one symbol to the
+left, by the ranks of that symbol in both transforms; the cuts that are new part rows with a common prefix one symbol
+longer. Only what has just been parted is looked at again, so the rounds together cost about one look at each row and
+symbol. Rows without a cut between them after as many rounds as a window is long are a repeated interval. No suffix is
 sorted again.
 """
 
@@ -39,43 +41,84 @@ class Transform:
         self.strings = len(ends)
 
 
+class Ranks:
+    """How many rows before any row are preceded by a symbol, and which row that leads to."""
+
+    def __init__(self, t: Transform, used: np.ndarray, code: np.ndarray):
+        self.rows = code[t.before]
+        width = len(t.before) // 64 + 1
+        bits = np.zeros((len(used), width * 8), dtype=np.uint8)
+        for c in range(len(used)):
+            packed = np.packbits(self.rows == c, bitorder="little")
+            bits[c, : len(packed)] = packed
+        self.words, self.width = bits.view("<u8"), width
+        counts = np.cumsum(np.bitwise_count(self.words), axis=1, dtype=np.int32)
+        total = counts[:, -1].astype(np.int64)
+        self.first = np.where(used > 0, t.strings + np.cumsum(total * (used > 0)) - total, 0)
+        self.before = np.zeros_like(counts)
+        self.before[:, 1:] = counts[:, :-1]
+        self.words, self.before = self.words.reshape(-1), self.before.reshape(-1)
+
+    def step(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """The cut before row ``i``, carried to the left by the symbol of code ``c``."""
+        w = c * self.width + (i >> 6)
+        low = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
+        return self.first[c] + self.before[w] + np.bitwise_count(self.words[w] & low)
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after another."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()), dtype=np.int64)
+
+
 def merge(a: Transform, b: Transform, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions of all rows in merged order, a mark where a row parts from the one above within ``depth`` symbols,
     and their common prefix with the row above (``depth`` where they have not parted)."""
     n, ends = len(a.before) + len(b.before), a.strings + b.strings
-    side = np.zeros(n, dtype=bool)
-    side[len(a.before) :] = True
-    head = np.concatenate([np.zeros(a.strings, bool), np.ones(b.strings, bool)])
-    block = np.zeros(n, dtype=np.int32)
-    lcp = np.full(n, depth, dtype=np.int32)
-    parted = np.zeros(n, dtype=bool)
-    # few bytes occur in a text, so their ranks fit one byte and sort in one pass
-    used = np.flatnonzero(np.bincount(np.concatenate([a.before, b.before]), minlength=257))
-    narrow = np.zeros(257, dtype=np.uint8 if len(used) <= 256 else np.uint16)
-    narrow[used] = np.arange(len(used))
-    first, second = narrow[a.before], narrow[b.before]
-    symbols = np.empty(n, dtype=narrow.dtype)
-    for k in range(depth):
-        symbols[~side] = first
-        symbols[side] = second
-        order = np.argsort(symbols, kind="stable")[ends:]  # the rows before an end lead to no suffix
-        new = np.concatenate([head, side[order]])
-        if len(order):
-            s, src = symbols[order], block[order]
-            differ = np.concatenate([np.ones(ends + 1, bool), (s[1:] != s[:-1]) | (src[1:] != src[:-1])])
-        else:
-            differ = np.ones(n, bool)
-        fresh = differ & ~parted
-        lcp[fresh] = k
-        parted = differ
-        if np.array_equal(new, side) and not fresh.any() and k:
-            break  # nothing parts any more: all further rounds are alike
-        side = new
-        block = np.cumsum(differ, dtype=np.int32)
+    counts = np.bincount(a.before, minlength=257) + np.bincount(b.before, minlength=257)
+    used = np.flatnonzero(counts)
+    code = np.zeros(257, dtype=np.int64)
+    code[used] = np.arange(len(used))
+    ra, rb = Ranks(a, used, code), Ranks(b, used, code)
+    letters = np.flatnonzero(used)  # codes of symbols other than an end
+    lcp = np.full(n + 1, depth, dtype=np.int32)
+    cut = np.zeros(n + 1, dtype=bool)
+    left = np.zeros(n + 1, dtype=np.int64)  # rows of ``a`` before a cut
+    # every end is a symbol of its own, those of ``a`` before those of ``b``; then the first rows of each symbol
+    at = np.concatenate([np.arange(ends + 1), ra.first[letters] + rb.first[letters], [n]])
+    left[at] = np.concatenate([np.minimum(np.arange(ends + 1), a.strings), ra.first[letters], [len(a.before)]])
+    cut[at], lcp[at] = True, 0
+    new = np.unique(at[at > 0])
+    for k in range(1, depth):
+        # what a new cut ends: the rows down from the cut before it, looked for as far as it has symbols
+        size, open_ = np.zeros(len(new), dtype=np.int64), np.arange(len(new))
+        for d in range(1, len(letters) + 1):
+            stop = cut[new[open_] - d]
+            size[open_[stop]] = d
+            open_ = open_[~stop]
+            if not len(open_):
+                break
+        few = np.flatnonzero(size)
+        high, m = new[few], size[few]
+        low = high - m
+        own_a, own_b = left[high] - left[low], m - left[high] + left[low]
+        symbols = np.concatenate([ra.rows[_ranges(left[low], own_a)], rb.rows[_ranges(low - left[low], own_b)], np.tile(letters, len(open_))])
+        source = np.concatenate([np.repeat(high, own_a), np.repeat(high, own_b), np.repeat(new[open_], len(letters))])
+        real = used[symbols] > 0  # the rows before an end lead to no suffix
+        symbols, source = symbols[real], source[real]
+        i, j = ra.step(symbols, left[source]), rb.step(symbols, source - left[source])
+        fresh = ~cut[i + j]
+        i, j = i[fresh], j[fresh]
+        if not len(i):
+            break  # nothing parts any more
+        new, which = np.unique(i + j, return_index=True)
+        left[new], cut[new], lcp[new] = i[which], True, k
+    cuts = np.flatnonzero(cut)
+    of_a, of_b = np.diff(left[cuts]), np.diff(cuts - left[cuts])
     position = np.empty(n, dtype=np.int64)
-    position[~side] = a.position
-    position[side] = b.position
-    return position, parted, lcp
+    position[_ranges(cuts[:-1], of_a)] = a.position
+    position[_ranges(cuts[:-1] + of_a, of_b)] = b.position
+    return position, cut[:n], lcp[:n]
 
 
 def merging(window: int):
