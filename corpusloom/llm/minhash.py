@@ -5,10 +5,11 @@ of its words. Consistent weighted sampling (Ioffe's improved form) draws from su
 sample with a probability of their weighted Jaccard similarity. Samples are banded; documents that share a band are
 candidates, and the exact weighted Jaccard similarity of their sets decides.
 
-Exact copies are one text from the start. Inside a bucket every text is compared with one text of the bucket, and the
-links merge their classes. A small bucket that still holds several classes is settled by the pairs of different classes
-whose samples agree enough; a large one is split by further bands, in which the same is done again; so no large bucket
-is expanded into its pairs, and none is cut.
+Exact copies are one text from the start. A bucket of a few texts gives the pairs whose samples agree enough. In any
+other bucket every text is compared with one text of it, and the links merge their classes. If several classes are left,
+what may still be linked meets in one task, which walks from class to class over exact similarities and gives only the
+links that join two classes; a bucket too large for that is split by further bands, in which the same is done again. So
+no large bucket is expanded into its pairs, and none is cut.
 """
 
 from __future__ import annotations
@@ -32,8 +33,9 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 3
 #: Counters of word document frequencies. Their error is a fixed share of all documents at any size of the corpus.
 COUNTERS = 1 << 18
-#: A bucket of up to so many texts is settled by pairs of different classes; of more than ``FEW`` after its centre.
-SMALL, FEW = 512, 16
+#: A bucket of up to ``FEW`` texts is settled by pairs; one of up to ``SMALL`` texts with up to ``TERMS`` shingles in
+#: one task, after its centre has been met.
+SMALL, TERMS, FEW = 4096, 2_000_000, 16
 #: Of all samples, the share that a pair's must agree in to be verified: at a similarity of 0.8 and 36 samples,
 #: fewer than half agree with a probability below 0.0001.
 AGREE = 0.5
@@ -145,7 +147,7 @@ def sampler_for(samples: int) -> Sampler:
 
 
 def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
-    """``tid`` and its band hashes, for texts with words."""
+    """``tid``, its band hashes, samples and number of shingles, for texts with words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler, weights = sampler_for(bands * rows), idf.value
@@ -166,9 +168,10 @@ def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), flat)
             short = pa.array((x.reshape(-1) & np.uint64(0x7FFF)).astype(np.int16))
             samples = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands * rows, pa.int32()), short)
-            yield pa.RecordBatch.from_arrays([pa.array(tids, pa.binary()), lists, samples], names=["tid", "bands", "samples"])
+            terms = pa.array([len(s[0]) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(tids, pa.binary()), lists, samples, terms], names=["tid", "bands", "samples", "terms"])
 
-    return docs.select("tid", "text").mapInArrow(sign, "tid binary, bands array<bigint>, samples array<smallint>")
+    return docs.select("tid", "text").mapInArrow(sign, "tid binary, bands array<bigint>, samples array<smallint>, terms bigint")
 
 
 def agreement(a: Column, b: Column) -> Column:
@@ -201,6 +204,74 @@ def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     return dealt.mapInArrow(compare, "x binary, y binary, similarity double")
 
 
+def joining_links(tids: list[bytes], names: list[bytes], sets: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> list[tuple[bytes, bytes, float]]:
+    """Links (x, y, similarity) that join the classes ``names`` of some texts as all their links would.
+
+    Walks from text to text within a class; each is compared, over the shingles it has, with the texts that no walk has
+    reached yet, and those it is linked to bring their classes along.
+    """
+    sizes = np.array([len(s[0]) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, term = np.unique(np.concatenate([s[0] for s in sets]), return_inverse=True)
+    begins, weight = np.cumsum(sizes) - sizes, np.concatenate([s[1] for s in sets])
+    totals = np.array([float(s[1].sum()) for s in sets])
+    members: dict[bytes, list[int]] = {}
+    for i, name in enumerate(names):
+        members.setdefault(name, []).append(i)
+    open_ = np.ones(len(sets), dtype=bool)
+    out: list[tuple[bytes, bytes, float]] = []
+    indexed, queue, untouched = len(sets) + 1, [], iter(list(members))
+    while open_.any():
+        if not queue:
+            queue = [i for i in members[next(untouched)] if open_[i]]
+            open_[queue] = False
+            continue
+        left = int(open_.sum())
+        if left <= indexed // 2 or indexed > len(sets):  # postings of the open texts alone
+            rows = np.flatnonzero(open_[owner])
+            rows = rows[np.argsort(term[rows], kind="stable")]
+            holder, held = owner[rows], weight[rows]
+            starts = np.searchsorted(term[rows], np.arange(int(term.max()) + 2))
+            indexed = left
+        i = queue.pop()
+        own = slice(begins[i], begins[i] + sizes[i])
+        first, count = starts[term[own]], starts[term[own] + 1] - starts[term[own]]
+        spots = np.repeat(first - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        least = np.bincount(holder[spots], weights=np.minimum(np.repeat(weight[own], count), held[spots]), minlength=len(sets))
+        for j in np.flatnonzero(open_ & (least >= (threshold - 1e-9) * (totals + totals[i] - least))).tolist():
+            if open_[j] and (like := similarity(sets[i], sets[j])) >= threshold:
+                out.append((tids[j], tids[i], like))
+                new = [m for m in members[names[j]] if open_[m]]
+                open_[new] = False
+                queue += new
+    return out
+
+
+def settled(rows: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links that join the classes of each ``bucket`` of ``rows`` (``bucket``, ``tid``, ``label``), a bucket in a task."""
+    dealt = rows.join(texts, "tid").select("bucket", "tid", "label", "text").repartition("bucket").sortWithinPartitions("bucket", "tid")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, bucket, group = idf.value, None, []
+
+        def links() -> list[tuple[bytes, bytes, float]]:
+            return joining_links(*map(list, zip(*group, strict=True)), threshold) if len(group) > 1 else []
+
+        def batch(found: list[tuple[bytes, bytes, float]]) -> pa.RecordBatch:
+            cols = list(zip(*found, strict=True)) or [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.binary(), pa.float64()), strict=True)], names=["x", "y", "similarity"])
+
+        for b in batches:
+            for key, tid, label, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if key != bucket:
+                    yield batch(links())
+                    bucket, group = key, []
+                group.append((tid, label, weighted_set(t, weights)))
+        yield batch(links())
+
+    return dealt.mapInArrow(settle, "x binary, y binary, similarity double")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and the least node of its connected component, for links (``x``, ``y``): least labels spread along
     the links and along the labels themselves, so a chain shortens by half each round."""
@@ -219,17 +290,17 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _unsettled(state: DataFrame, seen: DataFrame, labels: DataFrame, found: DataFrame, reach: float) -> DataFrame:
-    """What is left of buckets whose centre has been met; those above ``SMALL`` are dealt to smaller ones by one
-    further band.
+    """What is left of buckets whose centre has been met; those too large for one task are dealt to smaller
+    ones by one further band.
 
     The centre has met everyone. 1 less the similarity is a metric, so a text farther than twice ``reach`` from the
     centre has no link to a text that the centre is linked to, and one at a distance d only to those at a distance
     of d - ``reach`` or more. Texts that the centre is linked to stay only where such a partner may be left.
     """
-    large = seen.where("not by_pairs").select("bucket", "y", (F.col("n") > SMALL).alias("split"))
+    large = seen.where("how = 'centre'").select("bucket", "y", (~F.col("fits")).alias("split"))
     large = large.join(labels.select(F.col("tid").alias("y"), F.col("label").alias("ylabel")), "y")
     rows = state.join(large, "bucket").where(F.col("tid") != F.col("y")).join(labels.select("tid", "label"), "tid")
-    far = found.select(F.col("x").alias("tid"), "y", (1 - F.col("similarity")).alias("far"))
+    far = found.groupBy(F.col("x").alias("tid"), "y").agg((1 - F.first("similarity")).alias("far"))
     rows = rows.join(far, ["tid", "y"], "left").withColumn("out", F.col("label") != F.col("ylabel"))
     near = F.min(F.when(F.col("out") & (F.col("far") <= 2 * reach), F.col("far")))
     edge = rows.groupBy("bucket").agg(near.alias("edge"))
@@ -237,7 +308,7 @@ def _unsettled(state: DataFrame, seen: DataFrame, labels: DataFrame, found: Data
     further = F.filter(F.transform("bands", lambda _, i: i), lambda i: i > F.col("last"))
     dealt = rows.withColumn("next", F.explode(F.when(F.col("split"), further).otherwise(F.array("last"))))
     bucket = F.when(F.col("split"), F.xxhash64("bucket", F.get("bands", F.col("next")))).otherwise(F.col("bucket"))
-    return dealt.select("tid", "bands", "samples", F.col("next").alias("last"), bucket.alias("bucket"), (~F.col("split")).alias("tried"))
+    return dealt.select("tid", "bands", "samples", "terms", F.col("next").alias("last"), bucket.alias("bucket"), (~F.col("split")).alias("tried"))
 
 
 def near_duplicates(
@@ -253,9 +324,9 @@ def near_duplicates(
     small_batches(spark)
     docs = documents.select(text_id(F.col(f"`{text}`")).alias("tid"), F.col(f"`{text}`").cast("string").alias("text"))
     idf = spark.sparkContext.broadcast(inverse_frequencies(*document_frequencies(docs)))
-    signed = written(signatures(docs, idf, bands, rows).groupBy("tid").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples")), "signed")
+    signed = written(signatures(docs, idf, bands, rows).groupBy("tid").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples"), F.first("terms").alias("terms")), "signed")
     least = math.ceil(AGREE * bands * rows)
-    buckets = signed.select("tid", "bands", "samples", F.posexplode("bands").alias("last", "bucket"))
+    buckets = signed.select("tid", "bands", "samples", "terms", F.posexplode("bands").alias("last", "bucket"))
     full = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     state = written(buckets.join(full, "bucket"), "buckets")
     # a text that others are copies of shares bands with more texts than its copies do, and makes the best centre
@@ -267,18 +338,20 @@ def near_duplicates(
     links = None
     while True:
         placed = state.join(labels, "tid")
-        seen = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("z"), F.max("tried").alias("met"), F.max(F.struct("degree", "tid", "label")).alias("c"))
-        by_pairs = (F.col("n") <= FEW) | F.col("met") & (F.col("n") <= SMALL)
-        seen = written(seen.where("a != z").select("bucket", "n", by_pairs.alias("by_pairs"), F.col("c.tid").alias("y"), F.col("c.label").alias("ylabel")), "open")
+        seen = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("terms").alias("terms"), F.min("label").alias("a"), F.max("label").alias("z"), F.max("tried").alias("met"), F.max(F.struct("degree", "tid", "label")).alias("c"))
+        fits = (F.col("n") <= SMALL) & (F.col("terms") <= TERMS)
+        how = F.when(F.col("n") <= FEW, "pairs").when(F.col("met") & fits, "task").otherwise("centre")
+        seen = written(seen.where("a != z").select("bucket", how.alias("how"), fits.alias("fits"), F.col("c.tid").alias("y"), F.col("c.label").alias("ylabel")), "open")
         if not seen.limit(1).count():
             break
         opened = placed.join(seen, "bucket")
-        star = opened.where((F.col("label") != F.col("ylabel")) & ~F.col("by_pairs")).select(F.col("tid").alias("x"), "y")
-        few = opened.where("by_pairs").select("bucket", "tid", "label", "samples")
+        in_tasks = settled(opened.where("how = 'task'").select("bucket", "tid", "label"), texts, idf, threshold)
+        star = opened.where((F.col("label") != F.col("ylabel")) & (F.col("how") == "centre")).select(F.col("tid").alias("x"), "y")
+        few = opened.where("how = 'pairs'").select("bucket", "tid", "label", "samples")
         other = few.select(F.col("bucket").alias("b"), F.col("tid").alias("y"), F.col("label").alias("other"), F.col("samples").alias("theirs"))
         likely = (F.col("tid") < F.col("y")) & (F.col("label") != F.col("other")) & (agreement(F.col("samples"), F.col("theirs")) >= least)
         pairs = few.join(other, (F.col("bucket") == F.col("b")) & likely).select(F.col("tid").alias("x"), "y")
-        found = written(verified(written(star.union(pairs).distinct(), "pairs"), texts, idf), "similarities")
+        found = written(verified(written(star.union(pairs).distinct(), "pairs"), texts, idf).unionByName(in_tasks), "similarities")
         new = found.where(F.col("similarity") >= threshold)
         links = new if links is None else links.union(new)
         if new.limit(1).count():
