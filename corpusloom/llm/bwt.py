@@ -171,12 +171,16 @@ def remove_repeats(documents: DataFrame, text: str = "text", key: str = "doc_id"
             n, removed, spans, kept = [], [], [], []
             for t, f in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 data = split_units(t, "bytes")[0]
-                gone = covered(f, len(data), window)
-                turn = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))).tolist()
+                raw, turn = data.tobytes(), []
+                if f:  # else nothing repeats, and the text is left as it is
+                    gone = np.zeros(len(data) + 2, dtype=bool)
+                    gone[1:-1] = covered(f, len(data), window)
+                    turn = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
+                starts, ends = turn[::2], turn[1::2]
                 n.append(len(data))
-                removed.append(int(gone.sum()))
-                spans.append([{"start": x, "end": y} for x, y in zip(turn[::2], turn[1::2], strict=True)])
-                kept.append(data[~gone].tobytes())
+                removed.append(sum(ends) - sum(starts))
+                spans.append([{"start": x, "end": y} for x, y in zip(starts, ends, strict=True)])
+                kept.append(b"".join(raw[x:y] for x, y in zip([0, *ends], [*starts, len(raw)], strict=True)) if turn else raw)
             sha = [hashlib.sha256(k).hexdigest() for k in kept]
             arrays = [b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()), pa.array(sha)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_sha256"])

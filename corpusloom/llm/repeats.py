@@ -216,10 +216,10 @@ def document_keys(documents: DataFrame, text: str, key: str) -> list[Column]:
 
 def covered(found: list[dict] | None, units: int, window: int) -> np.ndarray:
     """Which units lie in a repeated window."""
-    edge = np.zeros(units + 1, dtype=np.int64)
+    edge = np.zeros(units + 1, dtype=np.int32)
     for f in found or ():
         starts = f["first"] + np.flatnonzero(np.unpackbits(np.frombuffer(f["bits"], dtype=np.uint8), bitorder="little")[: f["n"]])
         edge[starts] += 1
         edge[starts + window] -= 1
     # rows of equal key and text give the same segment more than once, which changes no sign
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
