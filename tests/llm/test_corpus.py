@@ -436,3 +436,31 @@ def test_queries_equal_sql(spark, sf, name):
     ours, theirs = Q.queries()[name](spark, sf).toPandas(), c.sql(Q.oracle_sql()[name]).df()
     flat = lambda f: sorted(map(str, f[sorted(f.columns)].itertuples(index=False, name=None)))
     assert flat(ours.astype(str)) == flat(theirs.astype(str))
+
+
+def test_joining_links_leave_the_classes_of_all_links():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        n = int(rng.integers(2, 40))
+        base = rng.integers(1, 1 << 40, 12).astype(np.uint64)
+        sets = []
+        for _ in range(n):
+            own = np.unique(np.where(rng.random(12) < 0.12, rng.integers(1, 1 << 40, 12), base).astype(np.uint64))
+            sets.append((own, np.ones(len(own)) * (1 + own % np.uint64(3))))
+        tids = [bytes([i]) for i in range(n)]
+        names = [bytes([100 + int(x)]) for x in rng.integers(0, max(2, n // 2), n)]
+
+        def classes(pairs):
+            of = {t: m for t, m in zip(tids, names, strict=True)}
+            for x, y in pairs:
+                a, b = of[x], of[y]
+                of = {t: a if m == b else m for t, m in of.items()}
+            found = {}
+            for t, m in of.items():
+                found.setdefault(m, set()).add(t)
+            return sorted(map(sorted, found.values()))
+
+        every = [(tids[i], tids[j]) for i in range(n) for j in range(i) if minhash.similarity(sets[i], sets[j]) >= 0.8]
+        got = minhash.joining_links(tids, names, sets, 0.8)
+        assert all(like >= 0.8 and ((x, y) in every or (y, x) in every) for x, y, like in got)
+        assert len(got) < len(set(names)) and classes((x, y) for x, y, _ in got) == classes(every)
