@@ -8,8 +8,9 @@ candidates, and the exact weighted Jaccard similarity of their sets decides.
 Exact copies are one text from the start. A bucket of a few texts gives the pairs whose samples agree enough. In any
 other bucket every text is compared with one text of it, and the links merge their classes. If several classes are left,
 what may still be linked meets in one task, which walks from class to class over exact similarities and gives only the
-links that join two classes; a bucket too large for that is split by further bands, in which the same is done again. So
-no large bucket is expanded into its pairs, and none is cut.
+links that join two classes. A bucket too large for one task meets further centres while they take much of it away;
+what is left is dealt to blocks, and any two blocks meet in such a task. So every pair of a bucket is settled exactly,
+however large the bucket is, and none is cut.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ BANDS, ROWS = 12, 3
 #: Counters of word document frequencies. Their error is a fixed share of all documents at any size of the corpus.
 COUNTERS = 1 << 18
 #: A bucket of up to ``FEW`` texts is settled by pairs; one of up to ``SMALL`` texts with up to ``TERMS`` shingles in
-#: one task, after its centre has been met.
-SMALL, TERMS, FEW = 4096, 2_000_000, 16
+#: one task, after its centre has been met; a larger one in tasks of two blocks, together as large, once a centre has
+#: left more than ``KEPT`` of it.
+SMALL, TERMS, FEW, KEPT = 4096, 2_000_000, 16, 0.75
 #: Of all samples, the share that a pair's must agree in to be verified: at a similarity of 0.8 and 36 samples,
 #: fewer than half agree with a probability below 0.0001.
 AGREE = 0.5
@@ -272,6 +274,14 @@ def settled(rows: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFra
     return dealt.mapInArrow(settle, "x binary, y binary, similarity double")
 
 
+def by_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (``bucket``, ``tid``, ``label``, ``blocks``) of large buckets as buckets of two blocks each, so that any
+    two texts of a bucket meet in one of them at least."""
+    own = F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int")
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("own <> other")
+    return dealt.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "tid", "label")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and the least node of its connected component, for links (``x``, ``y``): least labels spread along
     the links and along the labels themselves, so a chain shortens by half each round."""
@@ -290,25 +300,21 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _unsettled(state: DataFrame, seen: DataFrame, labels: DataFrame, found: DataFrame, reach: float) -> DataFrame:
-    """What is left of buckets whose centre has been met; those too large for one task are dealt to smaller
-    ones by one further band.
+    """What is left of buckets whose centre has been met, with ``before``, the texts that they had.
 
     The centre has met everyone. 1 less the similarity is a metric, so a text farther than twice ``reach`` from the
     centre has no link to a text that the centre is linked to, and one at a distance d only to those at a distance
     of d - ``reach`` or more. Texts that the centre is linked to stay only where such a partner may be left.
     """
-    large = seen.where("how = 'centre'").select("bucket", "y", (~F.col("fits")).alias("split"))
+    large = seen.where("how = 'centre'").select("bucket", "y", F.col("n").alias("before"))
     large = large.join(labels.select(F.col("tid").alias("y"), F.col("label").alias("ylabel")), "y")
-    rows = state.join(large, "bucket").where(F.col("tid") != F.col("y")).join(labels.select("tid", "label"), "tid")
+    rows = state.drop("before").join(large, "bucket").where(F.col("tid") != F.col("y")).join(labels.select("tid", "label"), "tid")
     far = found.groupBy(F.col("x").alias("tid"), "y").agg((1 - F.first("similarity")).alias("far"))
     rows = rows.join(far, ["tid", "y"], "left").withColumn("out", F.col("label") != F.col("ylabel"))
     near = F.min(F.when(F.col("out") & (F.col("far") <= 2 * reach), F.col("far")))
     edge = rows.groupBy("bucket").agg(near.alias("edge"))
     rows = rows.join(edge, "bucket").where(F.col("out") | (F.coalesce("far", F.lit(1.0)) > reach) | (F.col("far") >= F.col("edge") - reach))
-    further = F.filter(F.transform("bands", lambda _, i: i), lambda i: i > F.col("last"))
-    dealt = rows.withColumn("next", F.explode(F.when(F.col("split"), further).otherwise(F.array("last"))))
-    bucket = F.when(F.col("split"), F.xxhash64("bucket", F.get("bands", F.col("next")))).otherwise(F.col("bucket"))
-    return dealt.select("tid", "bands", "samples", "terms", F.col("next").alias("last"), bucket.alias("bucket"), (~F.col("split")).alias("tried"))
+    return rows.select("tid", "samples", "terms", "bucket", "before")
 
 
 def near_duplicates(
@@ -326,7 +332,7 @@ def near_duplicates(
     idf = spark.sparkContext.broadcast(inverse_frequencies(*document_frequencies(docs)))
     signed = written(signatures(docs, idf, bands, rows).groupBy("tid").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples"), F.first("terms").alias("terms")), "signed")
     least = math.ceil(AGREE * bands * rows)
-    buckets = signed.select("tid", "bands", "samples", "terms", F.posexplode("bands").alias("last", "bucket"))
+    buckets = signed.select("tid", "samples", "terms", F.explode("bands").alias("bucket"))
     full = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     state = written(buckets.join(full, "bucket"), "buckets")
     # a text that others are copies of shares bands with more texts than its copies do, and makes the best centre
@@ -334,18 +340,21 @@ def near_duplicates(
     mine = written(degrees, "degrees")
     texts = written(docs.join(mine.select("tid"), "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text")), "texts")
     labels = written(mine.select("tid", F.col("tid").alias("label"), "degree"), "classes")
-    state = state.drop("n").withColumn("tried", F.lit(False))
+    state = state.drop("n").withColumn("before", F.lit(None).cast("long"))
     links = None
     while True:
         placed = state.join(labels, "tid")
-        seen = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("terms").alias("terms"), F.min("label").alias("a"), F.max("label").alias("z"), F.max("tried").alias("met"), F.max(F.struct("degree", "tid", "label")).alias("c"))
+        seen = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("terms").alias("terms"), F.min("label").alias("a"), F.max("label").alias("z"), F.max("before").alias("before"), F.max(F.struct("degree", "tid", "label")).alias("c"))
         fits = (F.col("n") <= SMALL) & (F.col("terms") <= TERMS)
-        how = F.when(F.col("n") <= FEW, "pairs").when(F.col("met") & fits, "task").otherwise("centre")
-        seen = written(seen.where("a != z").select("bucket", how.alias("how"), fits.alias("fits"), F.col("c.tid").alias("y"), F.col("c.label").alias("ylabel")), "open")
+        met = F.col("before").isNotNull()
+        how = F.when(F.col("n") <= FEW, "pairs").when(met & fits, "task").when(met & (F.col("n") > KEPT * F.col("before")), "blocks").otherwise("centre")
+        blocks = F.greatest(F.lit(2), F.ceil(2 * F.col("n") / SMALL), F.ceil(2 * F.col("terms") / TERMS)).cast("int")
+        seen = written(seen.where("a != z").select("bucket", "n", how.alias("how"), blocks.alias("blocks"), F.col("c.tid").alias("y"), F.col("c.label").alias("ylabel")), "open")
         if not seen.limit(1).count():
             break
         opened = placed.join(seen, "bucket")
-        in_tasks = settled(opened.where("how = 'task'").select("bucket", "tid", "label"), texts, idf, threshold)
+        whole = opened.where("how = 'task'").select("bucket", "tid", "label")
+        in_tasks = settled(whole.unionByName(by_blocks(opened.where("how = 'blocks'"))), texts, idf, threshold)
         star = opened.where((F.col("label") != F.col("ylabel")) & (F.col("how") == "centre")).select(F.col("tid").alias("x"), "y")
         few = opened.where("how = 'pairs'").select("bucket", "tid", "label", "samples")
         other = few.select(F.col("bucket").alias("b"), F.col("tid").alias("y"), F.col("label").alias("other"), F.col("samples").alias("theirs"))

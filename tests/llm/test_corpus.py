@@ -341,6 +341,22 @@ def test_one_large_group_of_near_copies(spark):
     assert {ids[i] for i in range(60)} == {0} and all(ids[100 + i] == 100 + i for i in range(40))
 
 
+def test_large_buckets_are_settled_whole(spark, monkeypatch):
+    """Every text is in the one bucket of the only band; pairs of copies are apart from all centres."""
+    for name, value in (("SMALL", 6), ("TERMS", 400), ("FEW", 2)):
+        monkeypatch.setattr(minhash, name, value)
+    sign = lambda docs, idf, bands, rows: signatures(docs, idf, bands, rows).withColumn("bands", F.array(F.lit(7).cast("long")))
+    signatures = minhash.signatures
+    monkeypatch.setattr(minhash, "signatures", sign)
+    rng = random.Random(8)
+    rows = []
+    for i in range(0, 40, 2):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(60)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join([*words[:-1], "edit"]))]
+    got = minhash.classes(spark.createDataFrame(rows, "doc_id long, text string"), bands=1)
+    assert {r.row.doc_id: r.class_id for r in got.collect()} == {i: i - i % 2 for i in range(40)}
+
+
 def test_sampling_estimates_similarity():
     rng = np.random.default_rng(0)
     keys = rng.integers(1, 1 << 62, 300).astype(np.uint64)
