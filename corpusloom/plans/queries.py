@@ -989,8 +989,8 @@ def parse_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query()
 def scan_files(spark: SparkSession, sf: str) -> DataFrame:
-    """The table files themselves, listed and hashed."""
-    return P.scan_directory(spark, sf, (".parquet",)).where("file_size_bytes < 100000").select("file_name", "file_type", "file_size_bytes", "file_hash")
+    """The table files themselves, listed and hashed, whatever their size."""
+    return P.hashed_files(spark, sf, (".parquet",)).select("file_name", "file_type", "file_size_bytes", "file_hash")
 
 
 @_query("SELECT date_trunc('day', ts) AS window_start, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions.cleaning import split_words
 from corpusloom.functions.context import SUPPORTED, extension, file_name
 
+#: Bytes of a file that is read as one value; the hash of a larger one comes from a stream.
+WHOLE_FILE = 128 << 20
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
@@ -37,6 +39,24 @@ def scan_directory(spark: SparkSession, folder: str, suffixes: tuple[str, ...] =
     )
 
 
+def hashed_files(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = SUPPORTED, skip_hidden: bool = False) -> DataFrame:
+    """``scan_directory`` without content, for files of any size: the driver hashes those over ``WHOLE_FILE`` block by
+    block, one after the other; their content is never held."""
+    files = scan_directory(spark, folder, suffixes, skip_hidden).drop("content")
+    small, large = files.where(F.col("file_size_bytes") <= WHOLE_FILE), files.where(F.col("file_size_bytes") > WHOLE_FILE).drop("file_hash")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hashes = []
+    for r in large.select("file_path").collect():
+        path = jvm.org.apache.hadoop.fs.Path(r[0])
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            hashes.append((r[0], jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)))
+        finally:
+            stream.close()
+    found = spark.createDataFrame(hashes, "file_path string, file_hash string")
+    return small.unionByName(large.join(found, "file_path"))
+
+
 def html_to_text(html: Column) -> Column:
     """Text of a page: scripts, styles, comments and tags out, common entities resolved, blanks and lines normal."""
     t = F.regexp_replace(html, r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->", " ")

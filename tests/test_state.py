@@ -1,7 +1,9 @@
 """State, vectors, reports, sources and streams."""
 
+import hashlib
 import io
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import evaluate as V
 from corpusloom.operators import state as S
 from corpusloom.operators import vectors as W
+from corpusloom.plans import queries as library
 from corpusloom.plans import reports as R
 from corpusloom.sources import documents as P
 from corpusloom.streaming import files as L
@@ -69,6 +72,19 @@ def test_word_files(spark, tmp_path):
     assert not parsed["b.doc"].parsing_success and "Unsupported" in parsed["b.doc"].error
 
 
+@pytest.mark.parametrize("whole", [0, 1 << 40])
+def test_scan_files_hashes_every_file(spark, sf, whole, monkeypatch):
+    monkeypatch.setattr(P, "WHOLE_FILE", whole)
+    files = {p.name: (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in Path(sf).glob("*.parquet")}
+    assert {r.file_name: (r.file_size_bytes, r.file_hash) for r in library.queries()["scan_files"](spark, sf).collect()} == files
+
+
+def test_hash_of_a_file_with_an_odd_name(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(P, "WHOLE_FILE", 0)
+    (tmp_path / "a b%20c é.txt").write_bytes(b"text")
+    assert [r.file_hash for r in P.hashed_files(spark, str(tmp_path), (".txt",)).collect()] == [hashlib.sha256(b"text").hexdigest()]
+
+
 def test_table_markdown(spark):
     rows = F.array(F.array(F.lit("a"), F.lit("long one")), F.array(F.lit("xyz")))
     assert spark.range(1).select(P.table_to_markdown(rows)).first()[0] == "| a   | long one |\n| --- | -------- |\n| xyz |          |\n\n"
