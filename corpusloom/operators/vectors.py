@@ -54,7 +54,7 @@ def matches(conditions: dict, list_mode: str = "any") -> Column:
 def search(
     vectors: DataFrame,
     query: list[float],
-    limit: int = 10,
+    limit: int | None = 10,
     metric: str = "cosine",
     threshold: float | None = None,
     where: Column | None = None,
@@ -63,13 +63,14 @@ def search(
     include_payload: bool = True,
     include_vector: bool = False,
 ) -> DataFrame:
-    """The best ``limit`` rows with their ``score``; ties by key. A threshold is a least score, of distances a most."""
+    """The best ``limit`` rows with their ``score``; ties by key. A threshold is a least score, of distances a most.
+    A limit of None gives every row, in no order."""
     score, falling = METRICS.get(metric, METRICS["cosine"])
     rows = vectors if where is None else vectors.where(where)
     rows = rows.withColumn("score", score(F.col(vector), F.array(*[F.lit(float(x)) for x in query])))
     if threshold is not None:
         rows = rows.where(F.col("score") >= threshold if falling else F.col("score") <= threshold)
-    best = rows.orderBy(F.desc("score") if falling else F.asc("score"), key).limit(limit)
+    best = rows if limit is None else rows.orderBy(F.desc("score") if falling else F.asc("score"), key).limit(limit)
     best = best if include_vector else best.drop(vector)
     return best if include_payload else best.select(*[c for c in (key, "score", vector) if c in best.columns])
 

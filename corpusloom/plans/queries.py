@@ -567,7 +567,7 @@ def vector_filtered_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query(f"SELECT vec_id, label, round({_COS}, 6) AS score FROM embeddings WHERE {_COS} >= 0.2")
 def vector_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    return _found(W.search(_vectors(spark, sf), _seventh(spark, sf), limit=1_000_000, threshold=0.2))
+    return _found(W.search(_vectors(spark, sf), _seventh(spark, sf), limit=None, threshold=0.2))
 
 
 @_query(f"SELECT vec_id, label, round({_COS}, 6) AS score FROM embeddings WHERE label IN (1, 2) ORDER BY {_COS} DESC, vec_id LIMIT 10")

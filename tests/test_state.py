@@ -72,6 +72,13 @@ def test_word_files(spark, tmp_path):
     assert not parsed["b.doc"].parsing_success and "Unsupported" in parsed["b.doc"].error
 
 
+def test_threshold_gives_every_hit(spark, monkeypatch):
+    n = 1_000_002
+    rows = spark.range(n).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(0.5)).alias("embedding"), F.lit(1).alias("label"))
+    monkeypatch.setattr(library, "_vectors", lambda spark, sf: rows)
+    assert library.queries()["vector_threshold"](spark, "").count() == n
+
+
 @pytest.mark.parametrize("whole", [0, 1 << 40])
 def test_scan_files_hashes_every_file(spark, sf, whole, monkeypatch):
     monkeypatch.setattr(P, "WHOLE_FILE", whole)
