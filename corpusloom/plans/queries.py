@@ -697,6 +697,22 @@ def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
     return q.select(*[F.round(c, 6).alias(c) for c in q.columns])
 
 
+@_query(f"""WITH {_METRICS}, a AS (SELECT avg(p) AS p, avg(rc) AS r, avg(rr) AS x, avg(p) FILTER (query_id % 40 = 0) AS cp, avg(rc) FILTER (query_id % 40 = 0) AS cr FROM m), pairs AS ({_PAIRS}),
+g AS (SELECT la, lb, avg(c) AS m FROM pairs GROUP BY la, lb), k AS (SELECT avg(m) FILTER (la = lb) AS intra, 1 - avg(m) FILTER (la < lb) AS inter FROM g),
+d AS (SELECT i, la, lb, avg(d) AS m FROM pairs GROUP BY i, la, lb), t AS (SELECT i, max(m) FILTER (la = lb) AS a, min(m) FILTER (la <> lb) AS b FROM d GROUP BY i),
+u AS (SELECT avg(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS sil FROM t),
+z AS (SELECT *, least(1, greatest(0, .4 * p + .3 * r + .3 * x)) AS rq, least(1, greatest(0, .4 * (sil + 1) / 2 + .3 * intra + .3 * inter)) AS sq FROM a, k, u)
+SELECT round(rq, 6) AS retrieval_quality, round(sq, 6) AS semantic_quality, round(least(1, greatest(0, .5 * rq + .3 * sq + .2 * (cp + cr) / 2)), 6) AS overall_quality FROM z""")
+def quality_scores_measured(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality with every part measured; in ``quality_scores`` the clustering parts are fixed numbers, as in its SQL."""
+    v, cross = _vectors(spark, sf), F.col("query_id") % 40 == 0
+    m = _metrics(spark, sf).agg(*[F.avg(F.when(only, F.col(c))).alias(n) for n, c, only in (("p", "precision", F.lit(True)), ("r", "recall", F.lit(True)), ("x", "reciprocal_rank", F.lit(True)), ("cp", "precision", cross), ("cr", "recall", cross))])
+    rows = m.crossJoin(V.silhouette(v)).crossJoin(V.intra_cluster(v)).crossJoin(V.inter_cluster(v))
+    parts = [F.col(c) for c in ("p", "r", "x", "silhouette", "intra_similarity", "inter_separation", "cp", "cr")]
+    q = rows.select(V.quality_scores(*parts).alias("q")).select("q.*")
+    return q.select(*[F.round(c, 6).alias(c) for c in q.columns])
+
+
 @_query("SELECT (d * 200 + q * 10) * 0.75::DOUBLE AS tokens, round((d * 200 + q * 10) * 0.75 / 1000 * 0.00002, 9)::DOUBLE AS total_cost, round((d * 200 + q * 10) * 0.75 / 1000 * 0.00002 / q, 9)::DOUBLE AS cost_per_query FROM (SELECT (SELECT count(*) FROM documents) AS d, (SELECT count(*) FROM benchmark) AS q)")
 def cost_model(spark: SparkSession, sf: str) -> DataFrame:
     d = _docs(spark, sf).agg(F.count("*").alias("d")).join(table(spark, sf, "benchmark").agg(F.count("*").alias("q")))

@@ -79,6 +79,17 @@ def test_threshold_gives_every_hit(spark, monkeypatch):
     assert library.queries()["vector_threshold"](spark, "").count() == n
 
 
+def test_measured_quality_follows_the_embeddings(spark, monkeypatch):
+    """Two groups, once apart and once the same: only the vectors differ."""
+    out = []
+    for other in ([0.0, 1.0], [1.0, 0.0]):
+        rows = [(i, [1.0, 0.0] if i % 2 else other, i % 2) for i in range(80)]
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label long")
+        monkeypatch.setattr(library, "_vectors", lambda spark, sf, frame=frame: frame)
+        out.append(library.queries()["quality_scores_measured"](spark, "").first())
+    assert [r.semantic_quality for r in out] == [pytest.approx(0.4 + 0.3 + 0.3), pytest.approx(0.2 + 0.3)]
+
+
 @pytest.mark.parametrize("whole", [0, 1 << 40])
 def test_scan_files_hashes_every_file(spark, sf, whole, monkeypatch):
     monkeypatch.setattr(P, "WHOLE_FILE", whole)
