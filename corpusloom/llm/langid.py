@@ -3,8 +3,9 @@
 For each language a variable-order context tree over bytes gives every next byte a probability: the longest context
 seen in training predicts with its counts, and leaves an escape probability (the share of distinct followers) for the
 next shorter context, with the bytes it has already predicted excluded. The statistics are frozen after training, so
-the code length of each (context, byte) is a number computed once; a text's score under a language is the exact sum
-over all its bytes, and the shortest code wins.
+the code length of each (context, byte) that some language has seen is a number computed once, and any other is the
+cost of the escape and the code length after the shorter context. All 256 bytes are kept apart. A text's score under
+a language is the exact sum over all its bytes, and the shortest code wins.
 """
 
 from __future__ import annotations
@@ -22,46 +23,119 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import small_batches
 from corpusloom.session import written
 
-#: Bounds of training: documents (expected) and bytes of each document by language; symbols; longest context.
-SAMPLE_DOCS, SYMBOLS, ORDER = 3000, 40, 3
+#: Bound of training: documents of each language (expected). Bytes and the longest context.
+SAMPLE_DOCS, SYMBOLS, ORDER = 3000, 256, 3
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
 
 
+#: Of a hash table for numbers: the numbers by slot, their rows by slot (-1: none), and the shift that gives a slot.
+Table = tuple[np.ndarray, np.ndarray, int]
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Frozen statistics: the symbol of each byte, and bits by language for each (context, symbol)."""
+    """Frozen statistics by length of the context, from none to ``order`` bytes: where the (context, byte) numbers that
+    some language has seen have their bits by language, and where the contexts have the bits of an escape by language
+    (0 where a language has not seen the context). The last row of each array is 0."""
 
     languages: tuple[str, ...]
-    symbol: np.ndarray  # 256 entries
-    bits: np.ndarray  # [symbols ** (order + 1), languages], float32
-    symbols: int
+    seen: tuple[tuple[Table, np.ndarray], ...]
+    escapes: tuple[tuple[Table, np.ndarray], ...]
     order: int
 
-
-def _symbols(counts: np.ndarray, symbols: int) -> np.ndarray:
-    """Symbol of each byte: the most frequent bytes have their own, the others share symbol 0. A-Z count as a-z."""
-    counts = counts.copy()
-    fold = np.arange(256)
-    fold[65:91] += 32
-    counts = np.bincount(fold, weights=counts, minlength=256)
-    table = np.zeros(256, dtype=np.int32)
-    frequent = [b for b in np.lexsort((np.arange(256), -counts)) if counts[b] > 0][: symbols - 1]
-    for i, b in enumerate(frequent):
-        table[b] = i + 1
-    return table[fold]
-
-
-def _grams(data: bytes, table: np.ndarray, symbols: int, order: int) -> np.ndarray:
+    @property
+    def symbols(self) -> int:
+        return SYMBOLS
+
+
+def _table(keys: np.ndarray) -> Table:
+    """A hash table of distinct numbers, which gives their places in ``keys``."""
+    width = max(4, int(4 * len(keys)).bit_length())
+    slots, rows, shift = np.zeros(1 << width, np.uint64), np.full(1 << width, -1, np.int32), 64 - width
+    left = np.arange(len(keys))
+    at = ((keys * _ODD) >> np.uint64(shift)).astype(np.int64)
+    while len(left):
+        free = np.flatnonzero(rows[at] < 0)
+        spot, first = np.unique(at[free], return_index=True)
+        won = free[first]
+        slots[spot], rows[spot] = keys[left[won]], left[won]
+        rest = np.ones(len(left), dtype=bool)
+        rest[won] = False
+        left, at = left[rest], (at[rest] + 1) & ((1 << width) - 1)
+    return slots, rows, shift
+
+
+def _find(table: Table, keys: np.ndarray) -> np.ndarray:
+    """The row of each number, -1 where the table lacks it."""
+    slots, rows, shift = table
+    at = ((keys * _ODD) >> np.uint64(shift)).astype(np.int64)
+    out = rows[at]
+    other = np.flatnonzero((out >= 0) & (slots[at] != keys))
+    while len(other):
+        at[other] = (at[other] + 1) & (len(rows) - 1)
+        out[other] = rows[at[other]]
+        other = other[(out[other] >= 0) & (slots[at[other]] != keys[other])]
+    return out
+
+
+def _low(keys: np.ndarray, n: int) -> np.ndarray:
+    """The last ``n`` bytes."""
+    return keys & np.uint64((1 << 8 * n) - 1)
+
+
+def _grams(data: bytes, order: int) -> np.ndarray:
     """For each byte the number that its context and itself make; a text starts after ``order`` spaces."""
-    s = table[np.frombuffer(b" " * order + data, dtype=np.uint8)]
+    s = np.frombuffer(b" " * order + data, dtype=np.uint8)
     n = len(s) - order
-    g = s[:n].astype(np.int32)
+    g = s[:n].astype(np.uint64)
     for k in range(1, order + 1):
-        g = g * symbols + s[k : k + n]
+        g = (g << np.uint64(8)) | s[k : k + n]
     return g
 
 
+def sparse_code_lengths(grams: np.ndarray, counts: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By length of the context, what ``code_lengths`` says: the (context, byte) numbers seen and their bits; the contexts
+    and the bits that an escape from them adds to the code length after the shorter context."""
+    levels = []
+    for k in range(order, -1, -1):
+        keys, at = np.unique(_low(grams, k + 1), return_inverse=True)
+        levels.append((keys, np.bincount(at, weights=counts)))
+    out, shorter, lower = [], None, None
+    for k, (keys, c) in enumerate(reversed(levels)):
+        contexts, own = np.unique(keys >> np.uint64(8), return_inverse=True)
+        n, q = np.bincount(own, weights=c), np.bincount(own)
+        below = np.full(len(keys), 1.0 / SYMBOLS) if shorter is None else lower[np.searchsorted(shorter, _low(keys, k))]
+        rest = np.maximum(1.0 - np.bincount(own, weights=below), 1e-12)
+        escape = np.where(q < SYMBOLS, q / (n + q), 0.0)
+        p = c / n[own] * (1.0 - escape[own])
+        out.append((keys, -np.log2(p), contexts, -np.log2(np.maximum(escape / rest, 1e-12))))
+        shorter, lower = keys, p
+    return out
+
+
+def model_of(counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int) -> Model:
+    """The model of the languages whose (context, byte) numbers and counts are given."""
+    languages = tuple(sorted(counts))
+    each = [sparse_code_lengths(*counts[lang], order) for lang in languages]
+    seen, escapes, shorter, lower = [], [], None, None
+    for k in range(order + 1):
+        keys = np.unique(np.concatenate([e[k][0] for e in each]))
+        contexts = np.unique(keys >> np.uint64(8))
+        add = np.zeros((len(contexts) + 1, len(languages)))
+        for i, e in enumerate(each):
+            add[np.searchsorted(contexts, e[k][2]), i] = e[k][3]
+        below = np.full((len(keys), len(languages)), np.log2(SYMBOLS)) if shorter is None else lower[np.searchsorted(shorter, _low(keys, k))]
+        bits = np.vstack([below + add[np.searchsorted(contexts, keys >> np.uint64(8))], np.zeros((1, len(languages)))])
+        for i, e in enumerate(each):
+            bits[np.searchsorted(keys, e[k][0]), i] = e[k][1]
+        seen.append((_table(keys), bits.astype(np.float32)))
+        escapes.append((_table(contexts), add.astype(np.float32)))
+        shorter, lower = keys, bits
+    return Model(languages, tuple(seen), tuple(escapes), order)
+
+
 def code_lengths(counts: np.ndarray, symbols: int, order: int) -> np.ndarray:
     """Bits of each symbol after each context of ``order`` symbols, from counts of such (context, symbol) numbers."""
     levels = [counts.astype(np.float64).reshape(-1, symbols)]
@@ -81,11 +155,11 @@ def code_lengths(counts: np.ndarray, symbols: int, order: int) -> np.ndarray:
     return (-np.log2(np.maximum(p, 1e-12))).astype(np.float32).reshape(-1)
 
 
-def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, symbols: int = SYMBOLS, order: int = ORDER) -> Model:
+def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -> Model:
     """Fit a model to rows of (``lang``, ``text``, ``draw``): a null language or text teaches nothing.
 
     At most about ``sample_docs`` documents of each language are read: those whose ``draw`` (a uniform long) is low
-    enough for the language's count. The driver gets counts by language, bounded by symbols ** (order + 1).
+    enough for the language's count. The driver gets the sample's distinct (context, byte) numbers, counted by language.
     """
     spark = labelled.sparkSession
     small_batches(spark)
@@ -93,49 +167,61 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, symbols: int = SY
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = tuple(sorted(sizes))
     if not languages:
-        return Model((), np.zeros(256, np.int32), np.zeros((symbols ** (order + 1), 0), np.float32), symbols, order)
+        return Model((), (), (), order)
     keep = F.lit(False)
     for lang, n in sizes.items():
         limit = (1 << 62) if n <= sample_docs else -(1 << 62) + int((1 << 63) * (sample_docs / n))
         keep = keep | ((F.col("lang") == lang) & (F.shiftright("draw", 1) <= limit))
     sample = written(rows.where(keep).select("lang", "text"), "lang-sample")
 
-    def byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256, dtype=np.int64)
-        for b in batches:
-            for t in b.column("text").to_pylist():
-                total += np.bincount(np.frombuffer(t.encode("utf-8", "replace"), dtype=np.uint8), minlength=256)
-        yield pa.RecordBatch.from_pydict({"byte": np.arange(256), "n": total})
-
-    by_byte = sample.mapInArrow(byte_counts, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(256)
-    for r in by_byte:
-        counts[r["byte"]] = r["n"]
-    table = _symbols(counts, symbols)
-
     def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, np.ndarray] = {}
+        totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
             by: dict[str, list[np.ndarray]] = {}
             for lang, t in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-                by.setdefault(lang, []).append(_grams(t.encode("utf-8", "replace"), table, symbols, order))
+                by.setdefault(lang, []).append(_grams(t.encode("utf-8", "replace"), order))
             for lang, g in by.items():
-                c = np.bincount(np.concatenate(g), minlength=symbols ** (order + 1)).astype(np.int32)
-                totals[lang] = totals[lang] + c if lang in totals else c
-        for lang, c in totals.items():
-            at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(at), "gram": at.astype(np.int32), "n": c[at].astype(np.int64)})
-
-    grams = sample.coalesce(8).mapInArrow(gram_counts, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    bits = np.zeros((symbols ** (order + 1), len(languages)), dtype=np.float32)
+                keys, n = np.unique(np.concatenate(g), return_counts=True)
+                if lang in totals:
+                    old, m = totals[lang]
+                    keys, at = np.unique(np.concatenate([old, keys]), return_inverse=True)
+                    n = np.bincount(at, weights=np.concatenate([m, n])).astype(np.int64)
+                totals[lang] = keys, n
+        for lang, (keys, n) in totals.items():
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(keys), "gram": keys.view(np.int64), "n": n})
+
+    grams = sample.coalesce(8).mapInArrow(gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     found = grams.toArrow()
-    langs = np.asarray(found.column("lang").to_pandas())
-    for i, lang in enumerate(languages):
-        own = langs == lang
-        c = np.zeros(symbols ** (order + 1), dtype=np.int64)
-        c[np.asarray(found.column("gram"))[own]] = np.asarray(found.column("n"))[own]
-        bits[:, i] = code_lengths(c, symbols, order)
-    return Model(languages, table, bits, symbols, order)
+    langs, keys, n = np.asarray(found.column("lang").to_pandas()), found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    nothing = _grams(b"", order), np.zeros(0, np.int64)
+    counts = {lang: (keys[own], n[own]) if (own := langs == lang).any() else nothing for lang in languages}
+    return model_of(counts, order)
+
+
+def _bits(model: Model, parts: list[np.ndarray]) -> np.ndarray:
+    """Bits by language of each part, none of them empty."""
+    sizes = np.array([len(p) for p in parts])
+    left = np.concatenate(parts)
+    part = None
+    for k in range(model.order, -1, -1):
+        table, bits = model.seen[k]
+        rows = _find(table, _low(left, k + 1))
+        if part is None:
+            out = np.add.reduceat(bits.take(rows, axis=0, mode="wrap"), np.cumsum(sizes) - sizes, axis=0, dtype=np.float64)
+            part = np.repeat(np.arange(len(parts)), sizes)
+        else:
+            out += _sums(bits.take(rows, axis=0, mode="wrap"), part, len(parts))
+        missed = np.flatnonzero(rows < 0)
+        left, part = left[missed], part[missed]
+        if not len(left):
+            return out
+        table, add = model.escapes[k]
+        out += _sums(add.take(_find(table, _low(left, k + 1) >> np.uint64(8)), axis=0, mode="wrap"), part, len(parts))
+    return out + np.log2(SYMBOLS) * np.bincount(part, minlength=len(parts))[:, None]
+
+
+def _sums(x: np.ndarray, part: np.ndarray, parts: int) -> np.ndarray:
+    return np.stack([np.bincount(part, weights=c, minlength=parts) for c in x.T], axis=1)
 
 
 def score(model: Model, texts: Sequence[str | None], block: int = 1 << 20) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -147,6 +233,7 @@ def score(model: Model, texts: Sequence[str | None], block: int = 1 << 20) -> tu
     known = [t is not None and bool(_LETTER.search(t)) and bool(model.languages) for t in texts]
     total = np.zeros((len(texts), len(model.languages)))
     lengths = np.zeros(len(texts), dtype=np.int64)
+    owners, parts, size = [], [], 0
     for i, (t, ok) in enumerate(zip(texts, known, strict=True)):
         if not ok:
             continue
@@ -154,8 +241,14 @@ def score(model: Model, texts: Sequence[str | None], block: int = 1 << 20) -> tu
         lengths[i] = len(data)
         for a in range(0, len(data), block):
             head = data[max(0, a - model.order) : a]
-            g = _grams(head + data[a : a + block], model.symbol, model.symbols, model.order)[len(head) :]
-            total[i] += model.bits.take(g, axis=0).sum(axis=0, dtype=np.float64)
+            owners.append(i)
+            parts.append(_grams(head + data[a : a + block], model.order)[len(head) :])
+            size += len(parts[-1])
+            if size >= block:
+                np.add.at(total, owners, _bits(model, parts))
+                owners, parts, size = [], [], 0
+    if parts:
+        np.add.at(total, owners, _bits(model, parts))
     out, scores, rate = [], np.zeros(len(texts)), np.zeros(len(texts))
     for i, ok in enumerate(known):
         if not ok:
@@ -173,7 +266,7 @@ def predict(documents: DataFrame, model: Model, text: Column, *keep: Column) ->
     """The columns ``keep`` of each row with ``lang_pred``, ``score`` and ``bits`` (per byte) of its whole text."""
     spark = documents.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((model.languages, model.symbol, model.bits, model.symbols, model.order))
+    shared = spark.sparkContext.broadcast((model.languages, model.seen, model.escapes, model.order))
     thin = documents.select(*keep, text.cast("string").alias("__text"))
     kept = thin.columns[:-1]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in thin.schema.fields[:-1])

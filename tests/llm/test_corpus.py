@@ -98,6 +98,26 @@ def test_language_code_lengths_are_a_distribution():
     assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
 
 
+def test_language_codes_every_byte():
+    """Bits of texts equal those of the dense table over 256 bytes, and rare scripts are told apart."""
+    greek, hebrew, plain = "λόγος και νόμος ", "שלום ורב טוב ", "Plain words % & * and 123 more $ "
+    counts = {}
+    for name, text in (("el", greek * 3), ("en", plain * 200), ("he", hebrew * 3)):
+        counts[name] = np.unique(langid._grams(text.encode(), 1), return_counts=True)
+    model = langid.model_of(counts, 1)
+    texts = ["λόγος", "שלום", "Jolly words, üß ", "νב k9"]
+    dense = []
+    for name in model.languages:
+        c = np.zeros(256**2)
+        c[counts[name][0].astype(int)] = counts[name][1]
+        dense.append(langid.code_lengths(c, 256, 1))
+    for t, found in zip(texts, langid._bits(model, [langid._grams(t.encode(), 1) for t in texts]), strict=True):
+        want = [sum(float(d[g]) for g in langid._grams(t.encode(), 1).astype(int)) for d in dense]
+        assert np.allclose(found, want, rtol=1e-4)
+    assert langid.score(model, texts[:2])[0] == ["el", "he"]
+    assert np.allclose(langid.score(model, texts, 3)[2], langid.score(model, texts)[2])
+
+
 def test_language_edges(docs, rows, empty):
     found = {r.doc_id: r for r in langid.identify(docs).collect()}
     assert len(found) == len({r[0] for r in rows})
