@@ -12,33 +12,40 @@ sorted again.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import itertools
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from corpusloom.llm.repeats import covered, document_keys, find_repeats, split_units
+from corpusloom.llm.common import Batches, steady
+from corpusloom.llm.repeats import Segment, by_row, covered, distinct_texts, find_repeats, levels
 from corpusloom.llm.suffix import suffix_array
+from corpusloom.session import Scratch
 
-#: Bytes of the sampled runs.
+#: Bytes of the sampled runs of the first level.
 GRAM = 32
+#: Bytes of a shard that is sorted; more shards are merged two by two.
+SHARD_BYTES = 128 << 10
 
 
+@dataclass(frozen=True)
 class Transform:
-    """Rows of a collection of strings in suffix order: preceding symbol and position; ends sort below any byte.
+    """Rows of a collection of strings in suffix order: preceding symbol and position; ends sort below any byte, and
+    among themselves in the order of their strings."""
+
+    before: np.ndarray
+    position: np.ndarray
+    strings: int
 
-    ``text`` holds the strings one after another, each byte plus 1, each string ended by 0.
-    """
 
-    def __init__(self, text: np.ndarray, base: int = 0):
-        ends = np.flatnonzero(text == 0)
-        rows = suffix_array(text, 257)
-        rows = np.concatenate([ends, rows[text[rows] != 0]])  # the ends themselves in the order of their strings
-        self.before = np.where(rows > 0, text[np.maximum(rows - 1, 0)], 0).astype(np.uint16)
-        self.position = rows + base
-        self.strings = len(ends)
+def transform(text: np.ndarray, base: int = 0) -> Transform:
+    """Sort a shard: ``text`` holds the strings one after another, each byte plus 1, each string ended by 0."""
+    ends = np.flatnonzero(text == 0)
+    rows = suffix_array(text, 257)
+    rows = np.concatenate([ends, rows[text[rows] != 0]])
+    return Transform(np.where(rows > 0, text[np.maximum(rows - 1, 0)], 0).astype(np.uint16), rows + base, len(ends))
 
 
 class Ranks:
@@ -71,9 +78,12 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()), dtype=np.int64)
 
 
-def merge(a: Transform, b: Transform, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of all rows in merged order, a mark where a row parts from the one above within ``depth`` symbols,
-    and their common prefix with the row above (``depth`` where they have not parted)."""
+def merge(a: Transform, b: Transform, depth: int | None = None) -> tuple[Transform, np.ndarray]:
+    """The transform of two shards together, and each row's common prefix with the row above, known up to ``depth``.
+
+    Without a depth, rounds go on until no two rows are left to part: only then are rows in the order that a further
+    merge needs. With one, rows with as long a common prefix stay in the order of their shards.
+    """
     n, ends = len(a.before) + len(b.before), a.strings + b.strings
     counts = np.bincount(a.before, minlength=257) + np.bincount(b.before, minlength=257)
     used = np.flatnonzero(counts)
@@ -81,7 +91,8 @@ def merge(a: Transform, b: Transform, depth: int) -> tuple[np.ndarray, np.ndarra
     code[used] = np.arange(len(used))
     ra, rb = Ranks(a, used, code), Ranks(b, used, code)
     letters = np.flatnonzero(used)  # codes of symbols other than an end
-    lcp = np.full(n + 1, depth, dtype=np.int32)
+    most = depth if depth is not None else n + 1
+    lcp = np.full(n + 1, most, dtype=np.int32)
     cut = np.zeros(n + 1, dtype=bool)
     left = np.zeros(n + 1, dtype=np.int64)  # rows of ``a`` before a cut
     # every end is a symbol of its own, those of ``a`` before those of ``b``; then the first rows of each symbol
@@ -89,7 +100,7 @@ def merge(a: Transform, b: Transform, depth: int) -> tuple[np.ndarray, np.ndarra
     left[at] = np.concatenate([np.minimum(np.arange(ends + 1), a.strings), ra.first[letters], [len(a.before)]])
     cut[at], lcp[at] = True, 0
     new = np.unique(at[at > 0])
-    for k in range(1, depth):
+    for k in range(1, most):
         # what a new cut ends: the rows down from the cut before it, looked for as far as it has symbols
         size, open_ = np.zeros(len(new), dtype=np.int64), np.arange(len(new))
         for d in range(1, len(letters) + 1):
@@ -115,75 +126,135 @@ def merge(a: Transform, b: Transform, depth: int) -> tuple[np.ndarray, np.ndarra
         left[new], cut[new], lcp[new] = i[which], True, k
     cuts = np.flatnonzero(cut)
     of_a, of_b = np.diff(left[cuts]), np.diff(cuts - left[cuts])
-    position = np.empty(n, dtype=np.int64)
-    position[_ranges(cuts[:-1], of_a)] = a.position
-    position[_ranges(cuts[:-1] + of_a, of_b)] = b.position
-    return position, cut[:n], lcp[:n]
-
-
-def merging(window: int):
-    """A matcher over bytes: two shards of the segments, merged; a window repeats if its row shares an interval."""
-
-    def match(rows: list[tuple[int, int, int, bytes, int]]) -> list[np.ndarray]:
-        hashes = np.array([r[0] for r in rows], dtype=np.int64)
-        many = np.array([r[2] for r in rows], dtype=np.int64) > 1
-        _, group, sizes = np.unique(hashes, return_inverse=True, return_counts=True)
-        open_ = np.bincount(group, weights=~many) > 0
-        # others are one content alone, or have all been found more than once as whole segments
-        shared = np.flatnonzero((sizes[group] > 1) & open_[group])
-        out = [np.full(r[4], m, dtype=bool) for r, m in zip(rows, many.tolist(), strict=True)]
-        if not len(shared):
+    position, before = np.empty(n, dtype=np.int64), np.empty(n, dtype=a.before.dtype)
+    for rows, t in ((_ranges(cuts[:-1], of_a), a), (_ranges(cuts[:-1] + of_a, of_b), b)):
+        position[rows], before[rows] = t.position, t.before
+    return Transform(before, position, ends), lcp[:n]
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """The length of the common prefix."""
+    n = min(len(a), len(b))
+    a, b = a[:n], b[:n]
+    if a == b:
+        return n
+    return n - ((int.from_bytes(a) ^ int.from_bytes(b)).bit_length() + 7) // 8
+
+
+def _reach(sides: list[bytes], many: list[bool]) -> list[int]:
+    """For each string the longest prefix that it shares with another one, or all of it if it stands for several."""
+    order = sorted(range(len(sides)), key=sides.__getitem__)
+    out = [len(s) if m else 0 for s, m in zip(sides, many, strict=True)]
+    for i, j in itertools.pairwise(order):
+        if not (many[i] and many[j]):
+            n = _common(sides[i], sides[j])
+            out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
+
+
+def trimmed(group: list[Segment], window: int) -> list[tuple[int, bytes]]:
+    """What of each segment can repeat: where it begins, and its bytes (none if it is shorter than a window).
+
+    All windows of a group have the sampled run, so equal ones agree to its left and to its right: no farther on either
+    side than the segment agrees with any other there.
+    """
+    many = [r[2] > 1 for r in group]
+    right = _reach([r[3][r[5] :] for r in group], many)
+    left = _reach([r[3][: r[5]][::-1] for r in group], many)
+    return [(r[5] - x, r[3][r[5] - x : r[5] + y] if x + y >= window else b"") for r, x, y in zip(group, left, right, strict=True)]
+
+
+def merging(window: int, shard_bytes: int = SHARD_BYTES):
+    """A matcher over bytes: shards of the segments, sorted each and merged two by two. Rows whose common prefix is a
+    window or longer make an interval; its windows repeat if it stands for more than one place.
+
+    A content that occurs at several places is one string with that number, so a row of it stands for as many. Groups
+    of which that already says everything (each content at several places, or one content alone) are not sorted, and
+    segments are cut to what can repeat before (``trimmed``).
+    """
+
+    def match(rows: list[Segment]) -> list[np.ndarray]:
+        out = [np.full(r[4], r[2] > 1, dtype=bool) for r in rows]
+        strings: list[tuple[bytes, list[tuple[int, int]]]] = []  # a content, and the segments and places that it has
+        at = 0
+        for _, some in itertools.groupby(rows, key=lambda r: r[0]):
+            group = list(some)
+            if len(group) > 1 and any(r[2] == 1 for r in group):
+                places: dict[bytes, list[tuple[int, int]]] = {}
+                number: dict[bytes, int] = {}
+                for i, (r, (begin, body)) in enumerate(zip(group, trimmed(group, window), strict=True)):
+                    if body:
+                        places.setdefault(body, []).append((at + i, begin))
+                        number[body] = number.get(body, 0) + r[2]
+                for body, own in places.items():
+                    if number[body] > 1:
+                        for i, begin in own:
+                            out[i][begin : begin + len(body) - window + 1] = True
+                if len(places) > 1 and any(n == 1 for n in number.values()):
+                    strings += places.items()
+            at += len(group)
+        if len(strings) < 2:
             return out
-        shards, begin, base = [], {}, 0
-        for part in (shared[::2], shared[1::2]):
-            texts, end = [], base
-            for i in part.tolist():
-                texts.append(np.append(np.frombuffer(rows[i][3], dtype=np.uint8).astype(np.int64) + 1, 0))
-                begin[i] = end
-                end += len(texts[-1])
-            shards.append(Transform(np.concatenate(texts), base))
-            base = end
-        position, parted, _ = merge(shards[0], shards[1], window)
-        same = ~parted
+        total = sum(len(s) + 1 for s, _ in strings)
+        shards = min(len(strings), max(2, -(-total // shard_bytes)))
+        sorted_, begins, base = [], [], 0
+        for part in (strings[j::shards] for j in range(shards)):
+            sorted_.append(transform(np.concatenate([np.append(np.frombuffer(s, dtype=np.uint8).astype(np.int32) + 1, 0) for s, _ in part]), base))
+            for s, own in part:
+                begins.append((base, len(s) - window + 1, own))
+                base += len(s) + 1
+        while len(sorted_) > 2:
+            sorted_ = [merge(*sorted_[j : j + 2])[0] if j + 1 < len(sorted_) else sorted_[j] for j in range(0, len(sorted_), 2)]
+        merged, lcp = merge(*sorted_, window)
+        same = lcp >= window
         again = np.zeros(base, dtype=bool)
-        again[position[same | np.append(same[1:], False)]] = True
-        for i, at in begin.items():
-            out[i] |= again[at : at + len(out[i])]
+        again[merged.position[same | np.append(same[1:], False)]] = True
+        for place, n, own in begins:
+            for i, begin in own:
+                out[i][begin : begin + n] |= again[place : place + n]
         return out
 
     return match
 
 
-def remove_repeats(documents: DataFrame, text: str = "text", key: str = "doc_id", window: int = 200) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_removed``, ``spans`` (start, end), ``kept`` (binary), ``kept_sha256`` of every row.
+def remove_repeats(documents: DataFrame, text: str = "text", key: str = "doc_id", window: int = 200, with_text: bool = True) -> DataFrame:
+    """``doc_id``, ``n_bytes``, ``n_removed``, ``spans`` (start, end), ``kept`` (binary, if ``with_text``) and
+    ``kept_sha256`` of every row.
 
     A byte goes if a string of ``window`` bytes that covers it also starts anywhere else, the same document included;
     repeated rows are different documents. ``spans`` are the maximal removed runs. Null texts count as empty; texts
-    shorter than a window lose nothing. An empty table gives an empty result.
+    shorter than a window lose nothing; very long texts go in blocks of windows. Null and repeated keys are allowed,
+    and so are further columns of any name. An empty table gives an empty result.
     """
-    found = find_repeats(documents, text, key, "bytes", window, min(GRAM, window), merging(window))
-    docs = documents.select(F.col(f"`{key}`").alias("doc_id"), *document_keys(documents, text, key), F.col(f"`{text}`").cast("string").alias("text"))
-    joined = docs.join(found, ["k1", "k2"], "left").select("doc_id", "text", "found")
+    scratch = Scratch(documents.sparkSession)
+    distinct = distinct_texts(documents, text, scratch)
+    found = find_repeats(distinct, "bytes", window, levels(GRAM, window), merging(window), scratch)
+    joined = distinct.join(found.hint("shuffle_hash"), "tid", "left").select("tid", "copies", "text", "found")
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @steady
+    def finish(batches: Batches) -> Batches:
         for b in batches:
-            n, removed, spans, kept = [], [], [], []
-            for t, f in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                data = split_units(t, "bytes")[0]
-                raw, turn = data.tobytes(), []
-                if f:  # else nothing repeats, and the text is left as it is
-                    gone = np.zeros(len(data) + 2, dtype=bool)
-                    gone[1:-1] = covered(f, len(data), window)
-                    turn = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
-                starts, ends = turn[::2], turn[1::2]
-                n.append(len(data))
+            texts = [t.encode("utf-8", "replace") for t in b.column(2).to_pylist()]
+            n = np.array([len(t) for t in texts], dtype=np.int64)
+            gone, begins = covered(b.column(3), n, b.column(1).to_numpy(), window)
+            turn = np.flatnonzero(np.diff(gone, prepend=False, append=False))  # in and out of runs, never over a text's end
+            own = np.searchsorted(turn, np.append(begins, len(gone)))
+            removed, spans, kept = [], [], []
+            for raw, a, lo, hi in zip(texts, begins.tolist(), own[:-1].tolist(), own[1:].tolist(), strict=True):
+                edges = [x - a for x in turn[lo:hi].tolist()]
+                starts, ends = edges[::2], edges[1::2]
                 removed.append(sum(ends) - sum(starts))
                 spans.append([{"start": x, "end": y} for x, y in zip(starts, ends, strict=True)])
-                kept.append(b"".join(raw[x:y] for x, y in zip([0, *ends], [*starts, len(raw)], strict=True)) if turn else raw)
+                kept.append(b"".join(raw[x:y] for x, y in zip([0, *ends], [*starts, len(raw)], strict=True)) if edges else raw)
             sha = [hashlib.sha256(k).hexdigest() for k in kept]
-            arrays = [b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()), pa.array(sha)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_sha256"])
+            arrays = [b.column(0), pa.array(n), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(sha)]
+            names = ["tid", "n_bytes", "n_removed", "spans", "kept_sha256"]
+            if with_text:
+                arrays, names = [*arrays, pa.array(kept, pa.binary())], [*names, "kept"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return joined.mapInArrow(finish, f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary, kept_sha256 string")
+    schema = "tid binary, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string" + ", kept binary" * with_text
+    results = scratch.table(joined.mapInArrow(finish, schema), "results")
+    scratch.drop(distinct, found)
+    return by_row(documents, text, key, results)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +15,49 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the Arrow batches that Python workers hold, so very long texts fit a small executor."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+#: Rows and bytes of an Arrow batch; a row that is larger makes a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that Python workers hold, so very long texts fit a small executor.
+
+    Spark reads both settings when a plan runs, long after an operator has returned, so they stay; smaller ones are kept.
+    """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        have = spark.conf.get(name, None)
+        try:
+            set_ = have is not None and 0 < int(have) <= most
+        except ValueError:  # a size with a unit
+            set_ = False
+        if not set_:
+            spark.conf.set(name, str(most))
+
+
+def tidy() -> None:
+    """Give back to the system what a task has freed: workers are used again, and executors have one bound for all."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def steady(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function for ``mapInArrow`` that leaves its worker's memory tidy."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return wrapped
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -40,3 +84,8 @@ def text_key(text: Column) -> Column:
 def nested(df: DataFrame) -> DataFrame:
     """The whole input row as one struct column ``row``, so that working columns clash with no input name."""
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"))
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The same rows with columns named ``c0``, ``c1``, ..., so that working columns clash with no input name."""
+    return df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])

@@ -36,7 +36,7 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.substring import remove_repeats
 
-    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=35).drop("kept")
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=35, with_text=False)
 
 
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.bwt import remove_repeats
 
-    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=200)
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=200, with_text=False)
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 

@@ -3,9 +3,11 @@
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,7 +68,8 @@ def test_merged_transforms_equal_one_sort():
     rng = np.random.default_rng(1)
     parts = [[rng.integers(1, 4, rng.integers(1, 40)) for _ in range(6)] for _ in range(2)]
     flat = [np.concatenate([np.append(x, 0) for x in p]) for p in parts]
-    position, parted, lcp = bwt.merge(bwt.Transform(flat[0]), bwt.Transform(flat[1], len(flat[0])), 6)
+    merged, lcp = bwt.merge(bwt.transform(flat[0]), bwt.transform(flat[1], len(flat[0])), 6)
+    position = merged.position
     text = np.concatenate(flat)
     key = lambda i: text[i : i + 1 + int(np.argmax(text[i:] == 0))].tolist()
     keys = [key(i) for i in position]
@@ -75,7 +78,6 @@ def test_merged_transforms_equal_one_sort():
     for j in range(1, len(keys)):
         a, b = keys[j - 1], keys[j]
         common = next((m for m in range(6) if m >= min(len(a), len(b)) or a[m] != b[m] or a[m] == 0), 6)
-        assert (common >= 6) == (not parted[j])
         assert lcp[j] == common
 
 
@@ -218,6 +220,68 @@ def test_long_texts_go_in_blocks(spark, monkeypatch):
     assert substring.remove_repeats(rows).first().n_removed == 200
 
 
+def expected_words(rows, window):
+    split = [(r[1] or "").encode().split() for r in rows]
+    gone = windows_gone(split, window)
+    return sorted(((r[0], len(s), sum(g), hashlib.sha256(b" ".join(w for w, x in zip(s, g, strict=True) if not x)).hexdigest()) for r, s, g in zip(rows, split, gone, strict=True)), key=str)
+
+
+def expected_bytes(rows, window):
+    data = [(r[1] or "").encode() for r in rows]
+    gone = windows_gone(data, window)
+    return sorted(((r[0], len(s), sum(g), hashlib.sha256(bytes(b for b, x in zip(s, g, strict=True) if not x)).hexdigest()) for r, s, g in zip(rows, data, gone, strict=True)), key=str)
+
+
+def hot_rows(rng, n=60):
+    """Many equal rows, null ids, one passage between ever other contexts, and a text against weak hashes."""
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    passage = " ".join(word() for _ in range(50))
+    rows = [(i, " ".join([*(word() for _ in range(30)), passage, *(word() for _ in range(30))])) for i in range(n)]
+    rows += [(None if i % 2 else 7, passage + " and its tail") for i in range(40)]
+    letters = "a"
+    for _ in range(11):  # 2048 letters in the order of Thue and Morse, and their opposite
+        letters += letters.translate(str.maketrans("ab", "ba"))
+    other = letters.translate(str.maketrans("ab", "ba"))
+    rows += [(1000, " ".join([letters] * 40)), (1001, " ".join([other] * 39)), (1002, letters), (1003, other)]
+    return rows
+
+
+@pytest.mark.parametrize("group_bytes", [1, 3000, 1 << 30])
+def test_groups_of_any_size(spark, monkeypatch, group_bytes):
+    """Large groups go from level to level, down to whole windows; results are those of brute force."""
+    monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)
+    monkeypatch.setattr(repeats, "MATCH_BYTES", 5000)
+    rows = hot_rows(random.Random(6))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert listed(substring.remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == expected_words(rows, 35)
+    assert listed(bwt.remove_repeats(docs.withColumn("tid", F.lit(1))), "doc_id", "n_bytes", "n_removed", "kept_sha256") == expected_bytes(rows, 200)
+
+
+def test_shards_merge_at_more_than_one_level(monkeypatch):
+    rng = np.random.default_rng(9)
+    base = rng.integers(97, 100, 400).astype(np.uint8).tobytes()
+    rows = []
+    for i in range(23):
+        a, own = int(rng.integers(0, 300)), rng.integers(97, 100, 30).astype(np.uint8).tobytes()
+        body = own + base[a : a + 60] + own[::-1]
+        rows.append((1, bytes([i]), 1, body, len(body) - 19, 0))
+    want = [np.array(g) for g in windows_gone([r[3] for r in rows], 20)]
+    monkeypatch.setattr(bwt, "trimmed", lambda group, window: [(0, r[3]) for r in group])  # these share no run
+    for shard in (10**6, 1500, 900, 300, 1):
+        for r, got, w in zip(rows, bwt.merging(20, shard)(rows), want, strict=True):
+            cover = np.zeros(len(r[3]), dtype=bool)
+            for at in np.flatnonzero(got):
+                cover[at : at + 20] = True
+            assert (cover == w).all()
+
+
+def test_hasher_of_long_data():
+    data = np.random.default_rng(3).integers(0, 256, 200_000).astype(np.uint8)
+    twice = repeats.Hasher(np.concatenate([data, data]))
+    a = np.arange(0, 190_000, 777)
+    assert (twice.of(a, a + 9000) == twice.of(a + 200_000, a + 209_000)).all() and len(set(twice.of(a, a + 9000).tolist())) == len(a)
+
+
 def test_repeats_empty(empty):
     assert substring.remove_repeats(empty).count() == 0
     assert bwt.remove_repeats(empty).count() == 0
@@ -262,8 +326,8 @@ def test_token_files(docs, rows, empty):
     got = sorted(tokens.token_ids(docs, tokenizer_path()).collect(), key=lambda r: r.start)
     assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in got] == want
     assert [r.start for r in got] == [0, *np.cumsum([w[1] for w in want])[:-1].tolist()]
-    wide = tokens.read_ids(tokens.write_ids(docs, tokenizer_path(), vocabulary=70_000))
-    assert listed(wide, "doc_id", "start", "ids_crc32") == sorted([(r.doc_id, r.start, r.ids_crc32) for r in got], key=str)
+    many = tokens.read_ids(tokens.write_ids(docs.withColumns({"key": F.lit(1), "tie": F.lit("x")}), tokenizer_path(), file_bytes=300))
+    assert listed(many, "doc_id", "start", "ids_crc32") == sorted([(r.doc_id, r.start, r.ids_crc32) for r in got], key=str)
     assert tokens.token_ids(empty, tokenizer_path()).count() == 0
 
 
@@ -272,13 +336,47 @@ def test_token_files_null_keys(spark):
     assert [(r.doc_id, r.start, r.n_tokens) for r in sorted(tokens.token_ids(d, tokenizer_path()).collect(), key=lambda r: r.start)] == [(None, 0, 2), (-3, 2, 3), (2, 5, 1)]
 
 
+@pytest.fixture(scope="module")
+def wide_tokenizer(tmp_path_factory):
+    """Words as ids, in upper and lower case, with ids beyond 16 bits."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    words = {f"w{i}": i for i in range(70_000)} | {"Word": 70_001, "[UNK]": 70_002}
+    t = Tokenizer(models.WordLevel(words, unk_token="[UNK]"))
+    t.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+    path = tmp_path_factory.mktemp("tokenizer") / "wide.json"
+    t.save(str(path))
+    return str(path)
+
+
+def test_other_tokenizers(spark, docs, rows, wide_tokenizer):
+    """A tokenizer that is no lower-casing word tokenizer gets whole texts, and wide ids stay whole."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    for path in (wide_tokenizer, public_tokenizers.path("byte_bpe_50k.json")):
+        assert not tokens.splits_at_words(path)
+        tokenizer = Tokenizer.from_file(path)
+        own = [(1, "w69999 Word w5 nothing"), (2, "w0")] + [(r[0] + 10, r[1]) for r in rows[:12]]
+        want = sorted((i, zlib.crc32(np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes())) for i, t in own)
+        got = tokens.token_ids(spark.createDataFrame(own, "doc_id long, text string"), path)
+        assert listed(got, "doc_id", "ids_crc32") == sorted(want, key=str)
+    assert tokens.splits_at_words(tokenizer_path())
+
+
+def test_an_id_that_does_not_fit_ends_the_job(spark, wide_tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "vocabulary_size", lambda path: 100)
+    with pytest.raises(Exception, match="16 bits"):
+        tokens.write_ids(spark.createDataFrame([(1, "w69999")], "doc_id long, text string"), wide_tokenizer).count()
+
+
 def test_encoder_equals_tokenizer():
     from tokenizers import Tokenizer
 
     rng, alphabet = random.Random(2), "aB'sé \n\t\x1c\x85 ́ÅİΣς日本1.,'ll \U0001f642-"
     texts = ["".join(rng.choice([*alphabet, "<|endoftext|>", "don't"]) for _ in range(rng.randint(0, 40))) for _ in range(800)]
     encoder, tokenizer = tokens.WordEncoder(tokenizer_path(), 2), Tokenizer.from_file(tokenizer_path())
-    ids, n = encoder.encode(texts)
+    ids, n = encoder.encode(pa.array(texts))
     parts = np.split(ids, np.cumsum(n)[:-1])
     assert [p.tolist() for p in parts] == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
@@ -286,7 +384,11 @@ def test_encoder_equals_tokenizer():
 # ---------------------------------------------------------------- 6
 
 
-def test_decontamination(spark, docs, rows, empty):
+@pytest.mark.parametrize("block, shard", [(500_000, 16 << 20), (1, 500), (3, 16 << 20)])
+def test_decontamination(spark, docs, rows, empty, monkeypatch, block, shard):
+    """Results are the same in one block of phrases and in many, in one shard of a task and in several."""
+    monkeypatch.setattr(decontam, "BLOCK_PHRASES", block)
+    monkeypatch.setattr(decontam, "SHARD_BYTES", shard)
     items = [(1, PHRASE[:120]), (2, "Fox JUMPS over"), (3, None), (4, ""), (10, "nothing like this occurs at all in any text here today"), (2, "Fox JUMPS over"), (5, "shared line")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     windows = collections.defaultdict(set)
@@ -320,11 +422,13 @@ def test_cut_spans():
 
 def test_near_duplicates(docs, rows, empty):
     texts = sorted({r[1] or "" for r in rows})
-    df = np.zeros(minhash.COUNTERS, np.int64)
+    df = collections.Counter()
     for r in rows:
         h, s, e = minhash._words(r[1])
-        df[np.unique((h.of(s, e) & np.uint64(minhash.COUNTERS - 1)).astype(np.int64))] += 1
-    idf = minhash.inverse_frequencies(len(rows), df)
+        df.update(set(h.of(s, e).tolist()))
+    words = np.array(sorted(df), dtype=np.uint64)
+    idf = words, minhash.inverse_frequencies(len(rows), np.array([df[w] for w in words.tolist()])), float(np.log1p(len(rows)))
+    assert all(np.array_equal(a, b) for a, b in zip(idf, minhash.word_weights(docs), strict=True))
     sets = {t: minhash.weighted_set(t, idf) for t in texts}
     parent = {t: t for t in texts}
 
@@ -402,6 +506,23 @@ def test_lines(docs, rows, empty):
     assert lines.drop_frequent_lines(empty).count() == 0
 
 
+def test_line_key_strips_its_class_alone(spark):
+    """Java's $ stands before a last U+0085, U+2028 or U+2029 too; those are no white space here."""
+    lines_ = ["abc \x85", "abc \u2028", "abc\u2029", " abc \t", "abc \x0b\x0c\r", "\x1cabc", "ABC\xa0 "]
+    got = [r.k for r in spark.createDataFrame([(x,) for x in lines_], "x string").select(lines.line_key(F.col("x")).alias("k")).collect()]
+    assert got == ["abc \x85", "abc \u2028", "abc\u2029", "abc", "abc", "\x1cabc", "abc\xa0"]
+
+
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_lines_of_many_rows(spark, monkeypatch, broadcast):
+    """Blank lines, equal rows, null ids and a very long text."""
+    monkeypatch.setattr(lines, "BROADCAST_LINES", broadcast)
+    rows = [(None, "Head\n\n\nown\n head "), (3, "head\x85\n\nHEAD")] * 12 + [(4, "\n".join(["head", ""] * 3000 + ["tail"])), (5, None), (6, "")]
+    got = lines.drop_frequent_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(None, 5, 3, "\n"), (3, 3, 2, "")] * 12 + [(4, 6001, 3000, "\n" * 3000 + "tail"), (5, 1, 0, ""), (6, 1, 0, "")]
+    assert listed(got.select("row.doc_id", "n_lines", "n_dropped", "kept"), "doc_id", "n_lines", "n_dropped", "kept") == sorted(want, key=str)
+
+
 def test_lines_without_broadcast(docs, monkeypatch):
     want = listed(lines.drop_frequent_lines(docs).select("row.doc_id", "kept"), "doc_id", "kept")
     monkeypatch.setattr(lines, "BROADCAST_LINES", 0)
@@ -411,16 +532,57 @@ def test_lines_without_broadcast(docs, monkeypatch):
 # ---------------------------------------------------------------- 10
 
 
-@pytest.mark.parametrize("range_rows", [2, 2000])
-def test_next_document(docs, rows, empty, range_rows):
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_next_document(docs, rows, empty, ranges):
     one = docs.dropDuplicates(["doc_id"])
     own = sorted({(r[0], r[1] or "") for r in rows}, reverse=True)
     want = [(i, t, own[(k + 1) % len(own)][1]) for k, (i, t) in enumerate(own)]
-    assert listed(sketch.with_next(one, range_rows=range_rows), "doc_id", "text", "next_text") == sorted(want, key=str)
-    assert sketch.with_next(docs, range_rows=range_rows).count() == len(rows)
+    assert listed(sketch.with_next(one, ranges=ranges), "doc_id", "text", "next_text") == sorted(want, key=str)
+    assert sketch.with_next(docs, ranges=ranges).count() == len(rows)
     assert sketch.with_next(empty).count() == 0
 
 
+def test_next_document_of_many_equal_rows(spark):
+    rows = [(None, "a")] * 30 + [(5, "b")] * 30 + [(5, "c"), (-2, None), (1 << 40, "x " * 50_000)]
+    got = sketch.with_next(spark.createDataFrame(rows, "doc_id long, text string").withColumns({"part": F.lit(1), "tie": F.lit("t")}), ranges=7).collect()
+    own = collections.Counter((r.doc_id, r.text) for r in got)
+    assert own == collections.Counter((i, t or "") for i, t in rows)
+    after = collections.Counter(r.next_text for r in got)
+    assert after == collections.Counter(t or "" for _, t in rows)
+    assert {r.next_text for r in got if r.doc_id == -2} == {"a"} and {r.next_text for r in got if r.doc_id is None} == {"a", "x " * 50_000}
+
+
+def brute_sketch(text, words=5):
+    w = re.split(r"[\x20\x09-\x0D]+", text)
+    w = [x for x in w if x]
+    grams = {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+    return grams
+
+
+def test_fingerprint_query(spark, sf):
+    """The query on its whole table against the edited texts, and its estimates against the true similarities."""
+    from corpusloom.llm.queries import op10_threshold_sketch
+
+    d = sorted(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect(), key=lambda r: -r.doc_id)
+    got = {r.doc_id: r for r in op10_threshold_sketch(spark, sf).collect()}
+    assert len(got) == len(d)
+    errors = []
+    for k, (i, t) in enumerate(d):
+        nxt, r = d[(k + 1) % len(d)].text, got[i]
+        half = len(t) // 2
+        new = t[: len(t) - half] + nxt[:half]
+        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+        for near, other in ((r.near_edited, new), (r.near_next, nxt)):
+            a, b = brute_sketch(t), brute_sketch(other)
+            if len(a | b) >= 400:
+                errors.append(abs(near - len(a & b) / len(a | b)))
+            assert 0 <= near <= 1 and (near == 1 or t != other)
+        assert abs(len(r.fingerprint) / 16 - len(brute_sketch(t)) / 4) <= 6 + 4 * len(t) ** 0.5
+        # what is kept depends on the hash alone, so a text's own sketch is the same wherever it is met
+        assert all(r.fingerprint[j : j + 16] < r.fingerprint[j + 16 : j + 32] or r.fingerprint[j] >= "8" for j in range(0, len(r.fingerprint) - 16, 16))
+    assert np.mean(errors) < 0.04 and max(errors) < 0.2
+
+
 def test_sketches(spark, docs):
     s = docs.select("doc_id", "text", sketch.sketch(F.col("text"), fraction=1.0).alias("all"), sketch.sketch(F.col("text")).alias("low")).collect()
     limit = -(1 << 63) + (1 << 64) // 4
