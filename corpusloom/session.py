@@ -86,13 +86,14 @@ class Scratch:
         self.kept.append(out)
         return out
 
-    def bucketed(self, df: DataFrame, label: str, *keys: str) -> DataFrame:
+    def bucketed(self, df: DataFrame, label: str, *keys: str, dealt: bool = False) -> DataFrame:
         """``df`` written in as many buckets of ``keys`` as shuffles have partitions: joins and groups by those keys
-        read it as it lies, without dealing its rows out again."""
+        read it as it lies, without dealing its rows out again. Rows that are ``dealt`` by other columns stay where they
+        are until they are written."""
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         path, name = scratch_path(self.spark, label), f"corpusloom_{label.replace('-', '_')}_{uuid.uuid4().hex}"
-        dealt = df.repartition(buckets, *keys)
-        dealt.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, *keys).saveAsTable(name)
+        rows = df if dealt else df.repartition(buckets, *keys)
+        rows.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, *keys).saveAsTable(name)
         out = self.spark.table(name)
         self.paths[id(out)], self.names[id(out)] = path, name
         self.kept.append(out)
