@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import config
@@ -13,9 +14,18 @@ from corpusloom import config
 U = "(?Ud)"
 
 
+#: White space of any kind, as Unicode has it.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """White space of any kind off both ends."""
-    return F.regexp_replace(text, rf"{U}^\s+|\s+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def split_words(text: Column) -> Column:
@@ -23,9 +33,51 @@ def split_words(text: Column) -> Column:
     return F.filter(F.split(text, rf"{U}\s+"), lambda w: w != "")
 
 
+def literal(pattern: str) -> str:
+    """The longest run of plain characters that every match of a pattern has; empty where none is plain to see."""
+    best, run, i, depth = "", "", 0, 0
+    if "|" in re.sub(r"\\.", "", pattern):
+        return ""
+    while i <= len(pattern):
+        c = pattern[i] if i < len(pattern) else ""
+        plain = ""
+        if c == "\\":
+            i += 1
+            plain = pattern[i] if not pattern[i].isalnum() else ""
+        elif c == "[":
+            i = pattern.index("]", i + 1)
+        elif c and c not in ".^$*+?{}()":
+            plain = c
+        depth += (c == "(") - (c == ")")
+        after = pattern[i + 1 : i + 2]
+        if plain and not depth and after not in ("?", "*", "{"):
+            run += plain
+        else:
+            best, run = max(best, run, key=len), ""
+        if c == "{":
+            i = pattern.index("}", i)
+        if plain and after == "+":
+            best, run = max(best, run, key=len), ""
+        i += 1
+    return best
+
+
 def _chain(text: Column, patterns: Iterable[str], flags: str) -> Column:
+    """Patterns removed one after another; a pattern is only looked for where its plain characters stand in the text."""
+
+    def without(p: str) -> Callable[[Column], Column]:
+        plain = literal(p)
+        cut = lambda t: F.regexp_replace(t, F.lit(f"(?Ud{flags}){p}"), F.lit(""))
+        if len(plain) < 2:
+            return cut
+        if "i" not in flags:
+            return lambda t: F.when(F.contains(t, F.lit(plain)), cut(t)).otherwise(t)
+        # letters that are no others' lower case and yet match them
+        odd = lambda t: F.contains(t, F.lit("\u017f")) | F.contains(t, F.lit("\u0131")) | F.contains(t, F.lit("\u0130"))
+        return lambda t: F.when(F.contains(F.lower(t), F.lit(plain.lower())) | odd(t), cut(t)).otherwise(t)
+
     for p in patterns:
-        text = F.regexp_replace(text, F.lit(f"(?Ud{flags}){p}"), F.lit(""))
+        text = let(text, without(p))
     return text
 
 
@@ -49,25 +101,54 @@ def pattern_counts(text: Column, patterns: list[str], kind: str, flags: str) ->
     return F.filter(F.array(*out), lambda s: s["count"] > 0)
 
 
+def _often(stripped: Column, more_than: int) -> Column:
+    ordered = F.sort_array(F.filter(stripped, lambda x: x != ""))
+    return let(ordered, lambda o: F.array_distinct(F.filter(o, lambda x, i: x == F.get(o, i + more_than))))
+
+
 def repeated_lines(text: Column, more_than: int = config.REPEATED_LINE) -> Column:
     """Stripped lines that occur more than so many times, each once."""
-    lines = F.filter(F.transform(F.split(text, "\n", -1), strip), lambda x: x != "")
-    ordered = F.sort_array(lines)
-    return F.get(F.transform(F.array(ordered), lambda o: F.array_distinct(F.filter(o, lambda x, i: x == F.get(o, i + more_than)))), F.lit(0))
+    return _often(F.transform(F.split(text, "\n", -1), strip), more_than)
 
 
 def remove_headers_footers(text: Column, more_than: int = config.REPEATED_LINE) -> Column:
-    """Blank lines stay; lines that repeat too often or look like headers or footers go."""
-    header = "|".join(f"(?:{p})" for p in config.HEADER_PATTERNS)
+    """Blank lines stay; lines that repeat too often or look like headers or footers go. Each line is stripped once."""
+    header = F.lit("(?Udi)" + "|".join(f"(?:{p})" for p in config.HEADER_PATTERNS))
+
+    def kept(lines: Column) -> Column:
+        stripped = F.transform(lines, lambda p: p["s"])
+        stay = lambda often: F.filter(lines, lambda p: (p["s"] == "") | (~F.array_contains(often, p["s"]) & ~F.regexp_like(p["s"], header)))
+        return F.array_join(F.transform(let(_often(stripped, more_than), stay), lambda p: p["line"]), "\n")
 
-    def kept(often: Column) -> Column:
-        def keep(line: Column) -> Column:
-            s = strip(line)
-            return (s == "") | (~F.array_contains(often, s) & ~F.regexp_like(s, F.lit(f"(?Udi){header}")))
+    return let(F.transform(F.split(text, "\n", -1), lambda x: F.struct(x.alias("line"), strip(x).alias("s"))), kept)
 
-        return F.array_join(F.filter(F.split(text, "\n", -1), keep), "\n")
 
-    return F.get(F.transform(F.array(repeated_lines(text, more_than)), kept), F.lit(0))
+def header_counts(text: Column, more_than: int = config.REPEATED_LINE) -> Column:
+    """Which lines ``remove_headers_footers`` takes, and why: array of (kind, pattern, count). A repeated line counts as
+    often as it occurs; a header pattern counts the lines that it is the first to match."""
+
+    def first(line: Column) -> Column:
+        """The first header pattern that matches."""
+        return F.coalesce(*[F.when(F.regexp_like(line, F.lit(f"(?Udi){p}")), p) for p in config.HEADER_PATTERNS])
+
+    def counted(stripped: Column) -> Column:
+        def of(often: Column) -> Column:
+            lines = F.transform(often, lambda x: F.struct(F.lit("repeated_line").alias("kind"), x.alias("pattern"), F.size(F.filter(stripped, lambda s: s == x)).alias("count")))
+            rest = F.filter(stripped, lambda s: (s != "") & ~F.array_contains(often, s))
+            names = F.array_compact(F.transform(rest, first))
+            headers = F.transform(F.array_distinct(names), lambda n: F.struct(F.lit("header_footer").alias("kind"), n.alias("pattern"), F.size(F.filter(names, lambda m: m == n)).alias("count")))
+            return F.concat(lines, headers)
+
+        return let(_often(stripped, more_than), of)
+
+    return let(F.transform(F.split(text, "\n", -1), strip), counted)
+
+
+def clipped(counts: Column) -> Column:
+    """Counts by name: kind and the first 20 characters of the pattern. Names that are the same keep the last count."""
+    entries = F.transform(counts, lambda c: F.struct(F.concat(c["kind"], F.lit("_"), F.substring(c["pattern"].cast("string"), 1, 20), F.lit("...")).alias("key"), c["count"].alias("value")))
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["key"] == e["key"]))
+    return F.map_from_entries(last)
 
 
 def normalize_whitespace(text: Column) -> Column:
@@ -121,4 +202,17 @@ def ngrams(text: Column, low: int = 2, high: int = 5, shortest: int = 10, longes
         runs = [of_length(n) for n in range(low, high + 1)]
         return F.filter(F.flatten(F.array_compact(F.array(*runs))), lambda g: F.char_length(g).between(shortest, longest))
 
-    return F.get(F.transform(F.array(split_words(text)), of), F.lit(0))
+    return let(split_words(text), of)
+
+
+def phrase_counts(phrases: DataFrame, text: Column, key: str) -> DataFrame:
+    """``phrase``, ``occurrences`` and ``documents`` (distinct ``key``s) of all runs of words."""
+    each = phrases.select(F.col(key).alias("k"), F.explode(ngrams(text)).alias("phrase")).groupBy("k", "phrase").agg(F.count("*").alias("n"))
+    return each.groupBy("phrase").agg(F.sum("n").alias("occurrences"), F.count("*").alias("documents"))
+
+
+def frequent_noise(counts: DataFrame, documents: int, share: float = config.NOISE_THRESHOLD, by: str = "occurrences") -> DataFrame:
+    """Phrases that occur at least ``share`` times as often as there are documents (rounded down), the most common first.
+    A share of 0 is the default share; ``by`` counts occurrences or documents."""
+    least = int(documents * (share or config.NOISE_THRESHOLD))
+    return counts.where(F.col(by) >= least).orderBy(F.desc(by), "phrase")

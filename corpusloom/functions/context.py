@@ -20,10 +20,11 @@ TYPE_PATTERNS = {
 SUPPORTED = (".pdf", ".docx", ".doc")
 
 
-def relative_path(path: Column, root: str) -> Column:
-    """The path below ``root``, or the whole path where it lies elsewhere."""
+def relative_path(path: Column, root: str, strict: bool = False) -> Column:
+    """The path below ``root``. One that lies elsewhere stays whole, or ends the job if ``strict``."""
     root = root.rstrip("/") + "/"
-    return F.when(F.startswith(path, F.lit(root)), F.substring(path, len(root) + 1, 1 << 30)).otherwise(path)
+    outside = F.raise_error(F.concat(path, F.lit(f" is not below {root}"))).cast("string") if strict else path
+    return F.when(F.startswith(path, F.lit(root)), F.substring(path, len(root) + 1, 1 << 30)).when(path.isNotNull(), outside)
 
 
 def file_name(path: Column) -> Column:
@@ -140,3 +141,18 @@ def folders_after(path: Column, marker: str) -> Column:
     policy = F.when(at > 0, F.coalesce(F.get(parts, at), F.lit("Unknown"))).otherwise("Unknown")
     section = F.when((at > 0) & (at < F.size(parts)), F.coalesce(F.get(parts, at + 1), F.lit("Root"))).otherwise("Unknown")
     return F.struct(policy.alias("policy"), section.alias("section"))
+
+
+def metadata(path: Column, ctx: Column, organisation: str, source_type: str = "policy_document", domain: str = "healthcare_policy") -> Column:
+    """What is kept with a document for retrieval: file, hierarchy by level, classification, constants and tags."""
+    level = [F.get(ctx["hierarchy_path"], F.lit(i)).alias(f"level_{i}") for i in range(4)]
+    names = ["relative_path", "file_name", "policy_manual", "policy_acronym", "section", "subsection", "hierarchy_path", "document_index", "document_type", "is_additional_resource"]
+    return F.struct(
+        path.alias("file_path"),
+        *[ctx[n].alias(n) for n in names],
+        F.lit(source_type).alias("source_type"),
+        F.lit(domain).alias("content_domain"),
+        F.lit(organisation).alias("organization"),
+        tags(ctx).alias("tags"),
+        F.when(F.size(ctx["hierarchy_path"]) > 0, F.struct(*level)).alias("hierarchy"),
+    )

@@ -157,4 +157,26 @@ def confidence(ctx: Column, size: Column) -> Column:
 
 
 def searchable_text(ctx: Column) -> Column:
-    return F.concat_ws(" ", description(ctx), F.array_join(keywords(ctx), " "), F.array_join(use_cases(ctx), " "))
+    """The text of a described form's chunk: description, uses, keywords, file name and code."""
+    listed = lambda words: F.array_join(words, ", ")
+    words = keywords(ctx)
+    return F.concat_ws(
+        " ",
+        description(ctx),
+        F.concat(F.lit("This "), form_type(ctx["file_name"]), F.lit(" can be used for: "), listed(use_cases(ctx)), F.lit(".")),
+        F.when(F.size(words) > 0, F.concat(F.lit("Related keywords: "), listed(words), F.lit("."))),
+        F.concat(F.lit("Filename: "), ctx["file_name"]),
+        F.when(_present(ctx["document_index"]), F.concat(F.lit("Document ID: "), ctx["document_index"])),
+    )
+
+
+def metadata(ctx: Column, size: Column) -> Column:
+    """What a described form's chunk says about itself."""
+    return F.struct(
+        F.lit(True).alias("synthetic_description"),
+        form_type(ctx["file_name"]).alias("document_type"),
+        confidence(ctx, size).alias("confidence_score"),
+        keywords(ctx).alias("generated_keywords"),
+        use_cases(ctx).alias("use_cases"),
+        description(ctx).alias("original_description"),
+    )

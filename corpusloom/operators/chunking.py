@@ -4,26 +4,33 @@ from __future__ import annotations
 
 import bisect
 import re
+import sys
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import Protocol
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
 from pyspark.sql.window import Window
 
 from corpusloom import config
+from corpusloom.functions import describe as D
 from corpusloom.functions.cleaning import U, split_words, strip
 
 SENTENCE, PARAGRAPH, SECTION, TABLE = 1, 3, 10, 8
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 
 
+#: The families of boundaries that the cut loop knows.
+FAMILIES = ("sentence", "paragraph", "section", "table")
+
+
 @dataclass(frozen=True)
 class Cuts:
-    """Sizes in tokens of about four characters; ``lossless`` adds what the loop leaves at the end as a last chunk."""
+    """Sizes in tokens of about four characters; ``lossless`` adds what the loop leaves at the end as a last chunk;
+    ``families`` are the kinds of boundaries that it prefers, headings and tables before paragraphs and sentences."""
 
     size: int = config.CHUNK_SIZE
     overlap: int = config.CHUNK_OVERLAP
@@ -31,6 +38,7 @@ class Cuts:
     limit: int = config.TOKEN_LIMIT
     lossless: bool = True
     fallback: str = "tokens"  # where no boundary is near: the end of ``size`` tokens, or of 4 * ``size`` "chars"
+    families: tuple[str, ...] = FAMILIES
 
 
 def token_count(text: Column) -> Column:
@@ -45,19 +53,36 @@ def split_by_tokens(text: Column, most: int) -> Column:
     return F.filter(F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(most)), " ")), lambda p: p != "")
 
 
-def _ends(pattern: str):
-    """A column function for the places where matches of a pattern end; linear in the text, in Arrow batches."""
+def running_sums(numbers: Column, block: int = 256) -> Column:
+    """The sums of all first numbers of an array, block by block, so that the work is not the square of its length."""
+    none = F.array().cast("array<int>")
+    last = lambda sums: F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0))
+    inside = lambda xs: F.aggregate(xs, none, lambda sums, n: F.concat(sums, F.array(last(sums) + n)))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(numbers), F.lit(1)), F.lit(block))
+    blocks = F.transform(starts, lambda i: inside(F.slice(numbers, i, F.lit(block))))
+
+    def joined(parts: Column) -> Column:
+        bases = inside(F.transform(parts, last))
+        return F.flatten(F.zip_with(parts, bases, lambda part, base: F.transform(part, lambda x: x + base - last(part))))
+
+    return F.when(F.size(numbers) > 0, F.get(F.transform(F.array(blocks), joined), F.lit(0))).otherwise(none)
 
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def ends(texts: pd.Series) -> pd.Series:
-        found = re.compile(pattern)
-        return texts.map(lambda t: [m.end() for m in found.finditer(t)] if t else [])
 
-    return ends
+def _ends(text: Column, pattern: str) -> Column:
+    """Where the matches of a pattern end: after each, as many characters as all text up to it has. Every match begins
+    where the one before has ended, so a text without one is read once."""
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s)\G.*?{pattern}"), F.lit(0))
+    return F.get(F.transform(F.array(F.transform(pieces, F.char_length)), lambda sizes: running_sums(sizes)), F.lit(0))
 
 
-sentence_boundaries = _ends(r"[.!?]\s+")
-paragraph_boundaries = _ends(r"\n\s*\n")
+def sentence_boundaries(text: Column) -> Column:
+    """Where sentences end, the white space after them included."""
+    return _ends(text, rf"{U}[.!?]\s+")
+
+
+def paragraph_boundaries(text: Column) -> Column:
+    """Where blank lines end."""
+    return _ends(text, rf"{U}\n\s*\n")
 
 
 def section_boundaries(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -83,12 +108,42 @@ def table_boundaries(documents: DataFrame, key: str, text: str) -> DataFrame:
     return runs.where(rule).select(key, "start", "end")
 
 
-def cut(text: str, how: Cuts) -> list[tuple[int, str, int, int, float]]:
-    """Chunks of a text: (index, stripped text, start, end, position)."""
+_HEADING = re.compile(r"^#{1,6}\s+.+$", re.M)
+_ROW, _RULE = re.compile(r"\s*\|.*\|\s*"), re.compile(r"\s*\|[\s:|-]*-[\s:|-]*\|\s*")
+
+
+def places_of(text: str, markdown: str, families: tuple[str, ...] = FAMILIES) -> dict[int, int]:
+    """Positions of boundaries with the highest priority of each. Sentences and paragraphs are found in the text,
+    headings and tables in its Markdown; positions in both are taken as the same."""
     found: dict[int, int] = {}
-    for pattern, priority in ((r"[.!?]\s+", SENTENCE), (r"\n\s*\n", PARAGRAPH)):
-        for m in re.finditer(pattern, text):
-            found[m.end()] = max(priority, found.get(m.end(), 0))
+
+    def add(at: int, priority: int) -> None:
+        found[at] = max(priority, found.get(at, 0))
+
+    for family, pattern, priority in (("sentence", r"[.!?]\s+", SENTENCE), ("paragraph", r"\n\s*\n", PARAGRAPH)):
+        if family in families:
+            for m in re.finditer(pattern, text):
+                add(m.end(), priority)
+    if "section" in families:
+        for m in _HEADING.finditer(markdown):
+            add(m.start(), SECTION - len(m.group().split()[0]))
+    if "table" in families and "|" in markdown:
+        at, rows = 0, []  # rows: (start, end, line) of the run of table lines so far
+        for line in [*markdown.split("\n"), ""]:
+            if _ROW.fullmatch(line):
+                rows.append((at, at + len(line), line))
+            else:
+                if len(rows) > 1 and _RULE.fullmatch(rows[1][2]):
+                    add(rows[0][0], TABLE)
+                    add(rows[-1][1], TABLE)
+                rows = []
+            at += len(line) + 1
+    return found
+
+
+def cut(text: str, how: Cuts, markdown: str | None = None) -> list[tuple[int, str, int, int, float]]:
+    """Chunks of a text: (index, stripped text, start, end, position)."""
+    found = places_of(text, text if markdown is None else markdown, how.families)
     places = sorted(found)
     n, advance, out, pos, end = len(text), max(100, 2 * how.size), [], 0, 0
 
@@ -127,16 +182,18 @@ def cut(text: str, how: Cuts) -> list[tuple[int, str, int, int, float]]:
     return out
 
 
-def chunk(documents: DataFrame, key: str = "doc_id", text: str = "text", how: Cuts = Cuts()) -> DataFrame:
+def chunk(documents: DataFrame, key: str = "doc_id", text: str = "text", how: Cuts = Cuts(), markdown: str | None = None) -> DataFrame:
     """One row per chunk: ``key``, ``chunk_index``, ``chunk_text``, ``char_start``, ``char_end``, ``position``.
 
-    The loop is sequential inside a text, so it runs in Arrow batches; null and blank texts give no chunk.
+    Headings and tables are looked for in the column ``markdown``, or in the text itself. The loop is sequential inside
+    a text, so it runs in Arrow batches; null and blank texts give no chunk.
     """
-    thin = documents.select(F.col(key), F.col(text).cast("string").alias("text"))
+    thin = documents.select(F.col(key), F.col(text).cast("string").alias("text"), F.col(markdown or text).cast("string").alias("markdown"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, *c) for i, t in enumerate(b.column(1).to_pylist()) if t for c in cut(t, how)]
+            pairs = zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)
+            rows = [(i, *c) for i, (t, m) in enumerate(pairs) if t for c in cut(t, how, m or "")]
             at, index, body, start, end, position = zip(*rows, strict=True) if rows else [()] * 6
             arrays = [b.column(0).take(pa.array(at, pa.int64())), pa.array(index, pa.int32()), pa.array(body, pa.string()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(position, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[key, "chunk_index", "chunk_text", "char_start", "char_end", "position"])
@@ -145,6 +202,116 @@ def chunk(documents: DataFrame, key: str = "doc_id", text: str = "text", how: Cu
     return thin.mapInArrow(run, f"{key} {kind}, chunk_index int, chunk_text string, char_start int, char_end int, position double")
 
 
+def is_empty(text: Column) -> Column:
+    """Fewer than ten characters between white space: a form or template without content."""
+    return F.char_length(strip(F.coalesce(text, F.lit("")))) < 10
+
+
+def synthetic_chunks(documents: DataFrame, key: str, text: str, ctx: Column, size: Column) -> DataFrame:
+    """The one chunk of each document that ``is_empty``: a description of it from its path, name and size."""
+    rows = documents.where(is_empty(F.col(text))).select(key, D.searchable_text(ctx).alias("chunk_text"), D.metadata(ctx, size).alias("described"), ctx["file_name"].alias("__name"))
+    n = F.char_length("chunk_text")
+    return rows.select(
+        key, F.lit(0).alias("chunk_index"), "chunk_text", F.lit(0).alias("char_start"), n.alias("char_end"), F.lit(0.0).alias("position"),
+        F.concat(F.lit("# "), F.col("__name"), F.lit("\n\n"), F.col("chunk_text")).alias("chunk_markdown"), "described",
+    )
+
+
+def chunk_documents(
+    documents: DataFrame, ctx: Column, key: str = "doc_id", text: str = "text", markdown: str | None = None, path: Column | None = None, size: Column | None = None, how: Cuts = Cuts(), synthetic: bool = True
+) -> DataFrame:
+    """``chunk``, and for documents without content the described form's chunk (unless not ``synthetic``), each with
+    ``chunk_markdown``, ``token_count``, ``chunk_hash``, ``section_title`` and the struct ``context_metadata``.
+
+    ``ctx`` is the document's context struct, ``path`` and ``size`` its file's path and bytes (the relative path and 0
+    where they are not given). Metadata of a described form comes before the document's own: its type of document is the
+    form's, and it has a score, keywords and uses; those are null elsewhere.
+    """
+    rows = documents.withColumns({"__ctx": ctx, "__path": path if path is not None else ctx["relative_path"], "__size": size if size is not None else F.lit(0)})
+    cuts = chunk(rows.where(~is_empty(F.col(text))), key, text, how, markdown)
+    described = synthetic_chunks(rows, key, text, F.col("__ctx"), F.col("__size"))
+    kind = described.schema["described"].dataType.simpleString()
+    cuts = cuts.withColumns({"chunk_markdown": F.col("chunk_text"), "described": F.lit(None).cast(kind)})
+    every = (cuts.unionByName(described) if synthetic else cuts).join(rows.select(key, "__ctx", "__path"), key)
+    every = every.withColumns({"token_count": token_count(F.col("chunk_text")), "chunk_hash": chunk_hash(F.col("chunk_text")), "__flags": structure_flags(F.col("chunk_markdown"))})
+    flags = [F.when(F.col(f"__flags.has_{k}"), k) for k in ("table", "list", "heading")]
+    c, d = F.col("__ctx"), F.col("described")
+    meta = F.struct(
+        F.col("__path").alias("file_path"),
+        *[c[n].alias(n) for n in ("file_name", "policy_manual", "policy_acronym", "section", "document_index")],
+        F.coalesce(d["document_type"], c["document_type"]).alias("document_type"),
+        *[c[n].alias(n) for n in ("is_additional_resource", "hierarchy_path")],
+        F.col("chunk_index"),
+        F.col("position").alias("chunk_position"),
+        F.array_compact(F.array(*flags)).alias("structural_elements"),
+        F.col("token_count"),
+        F.coalesce(d["synthetic_description"], F.lit(False)).alias("synthetic_description"),
+        *[d[n].alias(n) for n in ("confidence_score", "generated_keywords", "use_cases", "original_description")],
+    )
+    title = F.regexp_extract("chunk_markdown", r"(?m)^#{1,6}[ \t]+(.+)$", 1)
+    return every.select(key, "chunk_index", "chunk_text", "chunk_markdown", "char_start", "char_end", "position", "token_count", "chunk_hash", F.nullif(title, F.lit("")).alias("section_title"), meta.alias("context_metadata"))
+
+
+class Tokenizer(Protocol):
+    """Cuts a text into tokens and joins tokens to a text; runs on the workers in Arrow batches."""
+
+    def tokens(self, text: str) -> list[str]: ...
+
+    def join(self, tokens: list[str]) -> str: ...
+
+
+@dataclass(frozen=True)
+class WordTokenizer:
+    """Words and single punctuation marks; the same tokens as ``token_count``."""
+
+    def tokens(self, text: str) -> list[str]:
+        return _TOKEN.findall(text)
+
+    def join(self, tokens: list[str]) -> str:
+        return " ".join(tokens)
+
+
+@dataclass(frozen=True)
+class FileTokenizer:
+    """The tokenizer of a file of the tokenizers library, without special tokens."""
+
+    path: str
+
+    def _load(self):
+        kept = vars(sys).setdefault("_corpusloom_tokenizers", {})
+        if self.path not in kept:
+            from tokenizers import Tokenizer as Library
+
+            kept[self.path] = Library.from_file(self.path)
+        return kept[self.path]
+
+    def tokens(self, text: str) -> list[str]:
+        return self._load().encode(text, add_special_tokens=False).tokens
+
+    def ids(self, text: str) -> list[int]:
+        return self._load().encode(text, add_special_tokens=False).ids
+
+    def join(self, tokens: list[str]) -> str:
+        library = self._load()
+        return library.decode([library.token_to_id(t) for t in tokens])
+
+
+def tokenized(documents: DataFrame, key: str, text: str, tokenizer: Tokenizer, most: int) -> DataFrame:
+    """``key``, ``tokens`` (their number) and ``parts``: the text if it has at most so many tokens, else runs of them."""
+    thin = documents.select(key, F.col(text).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            numbers, parts = [], []
+            for t in b.column(1).to_pylist():
+                found = tokenizer.tokens(t) if t else []
+                numbers.append(len(found))
+                parts.append([t or ""] if len(found) <= most else [tokenizer.join(found[i : i + most]).strip() for i in range(0, len(found), most)])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(numbers, pa.int32()), pa.array(parts, pa.list_(pa.string()))], names=[key, "tokens", "parts"])
+
+    return thin.mapInArrow(run, f"{key} {thin.schema[key].dataType.simpleString()}, tokens int, parts array<string>")
+
+
 def register_chunker(spark: SparkSession, name: str = "chunk_text", how: Cuts = Cuts()) -> None:
     """The chunker as a table function for SQL: ``SELECT ... FROM t, LATERAL chunk_text(t.text)``."""
     from pyspark.sql.functions import udtf
@@ -206,16 +373,80 @@ def quality(issues: Column, kept: Column, deviation: Column, mean: Column) -> Co
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - 0.1 * issues + 0.2 * kept - varied))
 
 
+def boundaries(documents: DataFrame, key: str, text: str, markdown: str | None = None) -> DataFrame:
+    """``key`` and ``bounds``, the positions of all boundaries of the four families, in order."""
+    md = markdown or text
+    own = documents.select(key, F.array_union(sentence_boundaries(F.coalesce(text, F.lit(""))), paragraph_boundaries(F.coalesce(text, F.lit("")))).alias("b"))
+    sections = section_boundaries(documents, key, md).select(key, "position")
+    tables = table_boundaries(documents, key, md).select(key, F.explode(F.array("start", "end")).alias("position"))
+    more = sections.union(tables).groupBy(key).agg(F.collect_set("position").alias("m"))
+    return own.join(more, key, "left").select(key, F.array_sort(F.array_union("b", F.coalesce("m", F.array().cast("array<int>")))).alias("bounds"))
+
+
+def validation(chunks: DataFrame, bounds: DataFrame, key: str, minimum: int = config.MIN_CHUNK, most: int = config.TOKEN_LIMIT) -> DataFrame:
+    """By document: ``total_chunks``, ``avg_chunk_size``, ``preservation``, ``issues`` (texts) and ``quality_score``.
+
+    ``chunks`` has ``chunk_text``, ``char_start``, ``char_end``; ``bounds`` comes from ``boundaries``.
+    """
+    sized = chunks.withColumn("__tokens", token_count(F.col("chunk_text")))
+    n = F.col("__tokens")
+    per = sized.groupBy(key).agg(
+        F.count("*").alias("total_chunks"), F.avg(n).alias("avg_chunk_size"), F.stddev_pop(n).alias("deviation"), F.count_if(n < minimum).alias("small"), F.count_if(n > most).alias("large"),
+        F.count_if(strip(F.col("chunk_text")) == "").alias("empty"), F.array_union(F.collect_set("char_start"), F.collect_set("char_end")).alias("cuts"),
+    )
+    texts = (("small", " chunks below minimum size"), ("large", " chunks above maximum size"), ("empty", " empty chunks"))
+    issues = F.array_compact(F.array(*[F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit(t))) for c, t in texts]))
+    rows = per.join(bounds, key).withColumns({"issues": issues, "preservation": preservation(F.col("cuts"), F.col("bounds"))})
+    score = quality(F.size("issues"), F.col("preservation"), F.col("deviation"), F.col("avg_chunk_size"))
+    return rows.select(key, "total_chunks", "avg_chunk_size", "preservation", "issues", score.alias("quality_score"))
+
+
+def validation_means(validated: DataFrame) -> DataFrame:
+    """Documents and the means over them."""
+    names = {"quality_score": "avg_quality", "total_chunks": "avg_chunks", "avg_chunk_size": "avg_chunk_size", "preservation": "avg_preservation"}
+    return validated.agg(F.count("*").alias("documents"), *[F.avg(c).alias(a) for c, a in names.items()])
+
+
+def common_issues(validated: DataFrame, most: int = 5) -> DataFrame:
+    """The most common issues and how often each occurs; ties by text."""
+    each = validated.select(F.explode("issues").alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
+    return each.orderBy(F.desc("n"), "issue").limit(most)
+
+
 def tune(documents: DataFrame, sizes: list[int], overlaps: list[int], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """For each size and overlap below it: chunks, documents, mean tokens and boundary preservation."""
+    """For each size and overlap below it: chunks, documents, mean tokens, boundary preservation, and the milliseconds
+    that cutting took for each document, on the workers."""
     out = None
-    bounds = documents.select(key, F.array_sort(F.array_union(sentence_boundaries(F.col(text)), paragraph_boundaries(F.col(text)))).alias("bounds"))
+    thin = documents.select(key, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    bounds = boundaries(thin, key, "text")
+    kind = thin.schema[key].dataType.simpleString()
+
+    def timed(how: Cuts):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows = []
+                for t in b.column(1).to_pylist():
+                    began = time.perf_counter()
+                    cuts = cut(t, how) if t else []
+                    spent = (time.perf_counter() - began) * 1000
+                    rows.append((len(cuts), sum(len(_TOKEN.findall(c[1])) for c in cuts), sorted({x for c in cuts for x in c[2:4]}), spent))
+                n, tokens, at, ms = zip(*rows, strict=True) if rows else [()] * 4
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(tokens, pa.int64()), pa.array(at, pa.list_(pa.int32())), pa.array(ms, pa.float64())], names=[key, "n", "tokens", "cuts", "ms"])
+
+        return run
+
     for size in sizes:
         for overlap in (o for o in overlaps if o < size):
-            cuts = chunk(documents, key, text, Cuts(size=size, overlap=overlap, fallback="chars"))
-            per = cuts.groupBy(key).agg(F.count("*").alias("n"), F.sum(token_count(F.col("chunk_text"))).alias("tokens"), F.array_union(F.collect_set("char_start"), F.collect_set("char_end")).alias("cuts"))
-            kept = per.join(bounds, key).select("n", "tokens", preservation(F.col("cuts"), F.col("bounds")).alias("kept"))
-            row = kept.agg(F.sum("n").alias("chunks"), F.count("*").alias("documents"), (F.sum("tokens") / F.sum("n")).alias("avg_tokens"), F.avg("kept").alias("preservation"))
+            per = thin.mapInArrow(timed(Cuts(size=size, overlap=overlap, fallback="chars")), f"{key} {kind}, n long, tokens long, cuts array<int>, ms double").where("n > 0")
+            kept = per.join(bounds, key).select("n", "tokens", "ms", preservation(F.col("cuts"), F.col("bounds")).alias("kept"))
+            row = kept.agg(F.sum("n").alias("chunks"), F.count("*").alias("documents"), (F.sum("tokens") / F.sum("n")).alias("avg_tokens"), F.avg("kept").alias("preservation"), F.avg("ms").alias("avg_ms"))
             row = row.select(F.lit(size).alias("size"), F.lit(overlap).alias("overlap"), "*")
             out = row if out is None else out.union(row)
     return out
+
+
+def best_cuts(tuned: DataFrame, most: int = 10) -> DataFrame:
+    """The settings that preserve most, of equal ones the fastest first; ``best`` marks the first."""
+    top = tuned.orderBy(F.desc("preservation"), "avg_ms", "size", "overlap").limit(most)
+    rank = F.row_number().over(Window.orderBy(F.desc("preservation"), "avg_ms", "size", "overlap"))  # ``most`` rows
+    return top.withColumn("best", rank == 1)

@@ -1,9 +1,11 @@
 """The cut loop, its properties, and what is derived from chunks."""
 
-from hypothesis import given, settings
+import pytest
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from corpusloom.functions import context as X
 from corpusloom.operators import chunking as K
 
 
@@ -50,3 +52,50 @@ def test_chunker_in_sql(spark):
     K.register_chunker(spark, "cut_up", K.Cuts(size=40, overlap=5, minimum=10))
     rows = spark.sql("SELECT c.* FROM (SELECT repeat('A sentence of words. ', 40) AS t) d, LATERAL cut_up(d.t) c").collect()
     assert len(rows) > 2 and rows[0].chunk_index == 0
+
+
+def test_headings_and_tables_win_over_sentences():
+    text = "A sentence here. " * 10 + "\n# Head\n" + "More words follow. " * 10 + "\n| a | b |\n|---|---|\n| 1 | 2 |\nEnd of it. " + "Tail words. " * 8
+    found = K.places_of(text, text)
+    head, start = text.index("# Head"), text.index("| a")
+    assert found[head] == 9 and found[start] == 8 and found[text.index("End") - 1] == 8
+    cuts = K.cut(text, K.Cuts(size=40, overlap=5, minimum=10))
+    assert cuts[0][3] == head
+    assert K.cut(text, K.Cuts(size=40, overlap=5, minimum=10, families=("sentence", "paragraph")))[0][3] != head
+    assert K.cut("plain words " * 40, K.Cuts(size=40, overlap=5, minimum=10), "# elsewhere\n" + "x" * 150 + "\n# here")[0][3] == 163
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="ab .!?\n", max_size=300), min_size=1, max_size=4))
+def test_boundary_columns_equal_the_loops(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    got = {r.k: set(r.bounds) for r in K.boundaries(rows, "k", "t").collect()}
+    assert got == {i: set(K.places_of(t, t)) for i, t in enumerate(texts)}
+
+
+def test_running_sums(spark):
+    rows = spark.createDataFrame([(list(range(n)),) for n in (0, 1, 5, 256, 257, 1000)], "x array<int>")
+    for r in rows.select("x", K.running_sums(F.col("x"), 7).alias("s"), K.running_sums(F.col("x")).alias("t")).collect():
+        assert r.s == r.t == [sum(r.x[: i + 1]) for i in range(len(r.x))]
+
+
+def test_documents_without_content(spark):
+    rows = spark.createDataFrame([(1, "  x ", "/r/Care/Part/CARE1-P10.01 Checklist.pdf"), (2, None, "/r/a/b.pdf"), (3, "Enough of a text to cut. " * 9, "/r/a/b.pdf")], "doc_id long, text string, path string")
+    ctx = X.context(F.col("path"), "/r")
+    got = {r.doc_id: r for r in K.chunk_documents(rows, ctx, path=F.col("path")).collect()}
+    assert set(got) == {1, 2, 3}
+    one = got[1]
+    assert one.chunk_text.endswith("Filename: CARE1-P10.01 Checklist.pdf Document ID: CARE1-P10.01") and one.chunk_markdown.startswith("# CARE1-P10.01 Checklist.pdf\n\n")
+    assert one.context_metadata.synthetic_description and one.context_metadata.document_type == "checklist" and one.char_end == len(one.chunk_text)
+    assert not got[3].context_metadata.synthetic_description and got[3].context_metadata.generated_keywords is None
+    assert {r.doc_id for r in K.chunk_documents(rows, ctx, synthetic=False).collect()} == {3}
+
+
+def test_tokenizers(spark):
+    rows = spark.createDataFrame([(1, "One, two three"), (2, None), (3, "")], "k long, t string")
+    got = {r.k: (r.tokens, r.parts) for r in K.tokenized(rows, "k", "t", K.WordTokenizer(), 3).collect()}
+    assert got == {1: (4, ["One , two", "three"]), 2: (0, [""]), 3: (0, [""])}
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    own = K.FileTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    r = K.tokenized(rows.where("k = 1"), "k", "t", own, 2).first()
+    assert r.tokens == len(own.ids("One, two three")) and "".join(r.parts).replace(" ", "") == "One,twothree"

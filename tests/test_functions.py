@@ -82,3 +82,41 @@ def test_forms(spark):
     assert one(spark, "/m/Care/Medication Safety/Check.pdf", lambda p: D.form_purpose(c(p))) == "resident care and medication management"
     assert one(spark, "/m/x.pdf", lambda p: D.form_purpose(X.context(p, "/m"))) == "organizational procedures"
     assert one(spark, "/m/Care/S/CARE1-P1.1 form.pdf", lambda p: D.confidence(c(p), F.lit(500_000))) == pytest.approx(0.95)
+
+
+def test_literals():
+    assert C.literal(r"Page \d+ of \d+") == "Page " and C.literal(r"https?://[^\s]+") == "http" and C.literal(r"^\d+$") == "" and C.literal(r"a|b") == ""
+    assert C.literal(r"No\. (?:x|y) end\.?") == "" or "No. " in C.literal(r"No\. (?:xy) end\.?")
+
+
+def test_guards_change_nothing(spark):
+    """Every pattern is looked for wherever it may match, odd letters included."""
+    texts = ["EFFECTIVE DATE: 1/2/2020 x", "Thi\u017f document i\u017f uncontrolled when printed.", "PAGE 3 of 9 Page 3 of 9", "rev\u0131sion: 1.2 and REV\u0130SION: 3", "a https://x.y z", "|  |", "nothing"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+
+    def plain(t, patterns, flags):
+        for p in patterns:
+            t = F.regexp_replace(t, F.lit(f"(?Ud{flags}){p}"), F.lit(""))
+        return t
+
+    from corpusloom import config
+
+    t = F.col("t")
+    got = rows.select(C.remove_disclaimers(t), plain(t, config.Organisation().disclaimers(), "is"), C.remove_noise(t), plain(t, config.NOISE_PATTERNS, "m")).collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in got)
+
+
+def test_removed_patterns_by_name(spark):
+    text = "Care Manual\nSame line that is long\n" + "Same line that is long\n" * 4 + "Legal matters\nbody"
+    r = spark.createDataFrame([(text,)], "t string").select(C.header_counts(F.col("t")).alias("c"), C.clipped(C.header_counts(F.col("t"))).alias("m")).first()
+    assert [(c.kind, c["count"]) for c in r.c] == [("repeated_line", 5), ("header_footer", 1), ("header_footer", 1)]
+    assert r.m["repeated_line_Same line that is lo..."] == 5 and len(r.m) == 3
+
+
+def test_phrases(spark):
+    rows = spark.createDataFrame([(1, "alpha beta gamma alpha beta gamma"), (2, "alpha beta gamma")], "k long, t string")
+    counts = {r.phrase: (r.occurrences, r.documents) for r in C.phrase_counts(rows, F.col("t"), "k").collect()}
+    assert counts["alpha beta gamma"] == (3, 2) and counts["alpha beta"] == (3, 2)
+    frame = C.phrase_counts(rows, F.col("t"), "k")
+    assert [r.phrase for r in C.frequent_noise(frame, 4, 0).collect()] == ["alpha beta", "alpha beta gamma", "beta gamma"]
+    assert C.frequent_noise(frame, 3, 1.0, by="documents").count() == 0
