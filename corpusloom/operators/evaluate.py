@@ -6,13 +6,18 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from corpusloom.operators.vectors import dot
+from corpusloom.operators.vectors import dot, euclidean
 
 #: Rows of a block of vectors that one task holds when distances are summed.
 BLOCK_ROWS = 2048
+#: Blocks up to which all distances are measured: their pairs are the square of this, and each row is copied as often.
+MOST_BLOCKS = 512
+#: Groups up to which their sums are broadcast.
+BROADCAST_GROUPS = 10_000
 
 
 def retrieval_metrics(ranked: DataFrame, expected: DataFrame, query_key: str = "query_id", precision_at: int = 5, recall_at: int = 10) -> DataFrame:
@@ -53,22 +58,29 @@ def intra_cluster(vectors: DataFrame, vector: str = "embedding", label: str = "l
 
 
 def inter_cluster(vectors: DataFrame, vector: str = "embedding", label: str = "label") -> DataFrame:
-    """1 less the mean over pairs of groups of their mean cosine; 0 without a pair. Pairs are of groups, not of rows."""
-    s = _unit_sums(vectors, vector, label)
-    a, b = s.alias("a"), s.alias("b")
-    pairs = a.join(F.broadcast(b), F.col(f"a.{label}") < F.col(f"b.{label}"))
-    mean = F.avg(dot(F.col("a.total"), F.col("b.total")) / (F.col("a.n") * F.col("b.n")))
-    return pairs.agg(F.coalesce(1.0 - mean, F.lit(0.0)).alias("inter_separation"))
+    """1 less the mean over pairs of groups of their mean cosine; 0 without a pair.
+
+    No pair is made: with the mean unit vector of each group, the cosines of all pairs sum to half of the square of the
+    sum of the means less the sum of their squares.
+    """
+    means = _unit_sums(vectors, vector, label).select(F.transform("total", lambda x: x / F.col("n")).alias("m"))
+    squares = means.agg(F.count("*").alias("groups"), F.sum(dot(F.col("m"), F.col("m"))).alias("own"))
+    total = means.select(F.posexplode("m").alias("d", "x")).groupBy("d").agg(F.sum("x").alias("x")).agg(F.sum(F.col("x") * F.col("x")).alias("all"))
+    mean = (F.col("all") - F.col("own")) / (F.col("groups") * (F.col("groups") - 1))
+    return squares.join(total).select(F.when(F.col("groups") > 1, 1.0 - mean).otherwise(0.0).alias("inter_separation"))
 
 
 def silhouette(vectors: DataFrame, vector: str = "embedding", label: str = "label", key: str = "vec_id", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Mean silhouette with Euclidean distances; members of groups of one score 0, fewer than two groups give 0.
 
-    Distances are between all rows by definition; blocks of rows meet block by block, and each task keeps only sums
-    by row and group.
+    Distances are between all rows by definition, so the work is the square of the rows; blocks of rows meet block by
+    block, and each task keeps only sums by row and group. More than ``MOST_BLOCKS`` blocks (about a million rows) are
+    refused: ``centroid_silhouette`` is for those.
     """
     n = vectors.count()
     blocks = max(1, math.ceil(n / block_rows))
+    if blocks > MOST_BLOCKS:
+        raise ValueError(f"{n} rows are too many for all distances; use centroid_silhouette")
     placed = vectors.select(F.col(key).alias("k"), F.col(label).alias("l"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("b"))
     each = F.sequence(F.lit(0), F.lit(blocks - 1))
     left = placed.select(F.col("b").alias("i"), F.explode(each).alias("j"), F.lit(0).alias("side"), "k", "l", "v")
@@ -91,7 +103,8 @@ def silhouette(vectors: DataFrame, vector: str = "embedding", label: str = "labe
     kinds = {f: vectors.schema[f].dataType.simpleString() for f in (key, label)}
     parts = left.unionByName(right).groupBy("i", "j").applyInPandas(sums, f"k {kinds[key]}, own {kinds[label]}, l {kinds[label]}, total double")
     sizes = vectors.groupBy(F.col(label).alias("l")).agg(F.count("*").alias("n"))
-    by = parts.groupBy("k", "own", "l").agg(F.sum("total").alias("total")).join(F.broadcast(sizes), "l")
+    held = F.broadcast(sizes) if sizes.count() <= BROADCAST_GROUPS else sizes
+    by = parts.groupBy("k", "own", "l").agg(F.sum("total").alias("total")).join(held, "l")
     same = F.col("l") == F.col("own")
     score = by.groupBy("k").agg(
         F.max(F.when(same, F.when(F.col("n") > 1, F.col("total") / (F.col("n") - 1)))).alias("a"), F.min(F.when(~same, F.col("total") / F.col("n"))).alias("b")
@@ -100,6 +113,22 @@ def silhouette(vectors: DataFrame, vector: str = "embedding", label: str = "labe
     return score.agg(F.coalesce(F.avg(one), F.lit(0.0)).alias("silhouette"))
 
 
+def centroid_silhouette(vectors: DataFrame, vector: str = "embedding", label: str = "label") -> DataFrame:
+    """Mean simplified silhouette: distances to the centroids of a row's own group and of the nearest other one; fewer
+    than two groups give 0. Linear in the rows for a number of groups of up to ``BROADCAST_GROUPS``, beyond which it is refused.
+    """
+    dims = vectors.select(label, F.posexplode(vector).alias("d", "x")).groupBy(label, "d").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    centres = dims.groupBy(label).agg(F.transform(F.sort_array(F.collect_list(F.struct("d", "x"))), lambda s: s["x"]).alias("c"))
+    if centres.count() > BROADCAST_GROUPS:
+        raise ValueError(f"more than {BROADCAST_GROUPS} groups")
+    every = centres.agg(F.collect_list(F.struct(F.col(label).alias("l"), F.col("c"))).alias("cs"))  # at most that many rows
+    rows = vectors.select(F.col(label).alias("l"), F.col(vector).alias("v")).join(F.broadcast(every))
+    far = lambda own: F.array_min(F.transform(F.filter("cs", lambda s: (s["l"] == F.col("l")) == F.lit(own)), lambda s: euclidean(F.col("v"), s["c"])))
+    near = rows.select(far(True).alias("a"), far(False).alias("b"))
+    one = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    return near.agg(F.coalesce(F.avg(F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise(one)), F.lit(0.0)).alias("silhouette"))
+
+
 def quality_scores(precision: Column, recall: Column, rr: Column, sil: Column, intra: Column, inter: Column, cross_p: Column, cross_r: Column) -> Column:
     """Retrieval, semantic and overall quality from 0 to 1."""
     clamp = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
@@ -114,3 +143,79 @@ def cost(documents: Column, queries: Column, price: Column) -> Column:
     tokens = (documents * 200 + queries * 10) * 0.75
     total = tokens / 1000.0 * price
     return F.struct(tokens.alias("tokens"), total.alias("total_cost"), F.coalesce(F.try_divide(total, queries), F.lit(0.0)).alias("cost_per_query"))
+
+
+# Embeddings in a second by kind of provider, and milliseconds of a search.
+SPEEDS = {"sentence_transformers": 100.0, "openai": 50.0, "cohere": 30.0}
+OTHER_SPEED, SEARCH_MS = 50.0, 1.0
+
+
+def performance(kind: Column) -> Column:
+    """Assumed speed of a provider: milliseconds an embedding and a search, embeddings in a second."""
+    speed = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in SPEEDS.items() for x in kv]), kind), F.lit(OTHER_SPEED))
+    return F.struct((1000.0 / speed).alias("avg_embedding_time_ms"), F.lit(SEARCH_MS).alias("avg_search_time_ms"), speed.alias("embeddings_per_second"))
+
+
+# Test queries: id, text, sections that should answer, difficulty; by type.
+TEST_QUERIES = {
+    "specific": [
+        ("infection_control_01", "What are the hand hygiene requirements for staff?", ["IPC"], "easy"),
+        ("medication_management_01", "How should controlled substances be stored and monitored?", ["CARE"], "medium"),
+        ("emergency_procedures_01", "What is the fire evacuation procedure for residents with mobility issues?", ["EPM"], "medium"),
+        ("privacy_confidentiality_01", "What information can be shared with family members without consent?", ["PRV"], "hard"),
+        ("maintenance_safety_01", "How often should medical equipment be inspected and calibrated?", ["MAINT"], "medium"),
+    ],
+    "cross_reference": [
+        ("cross_infection_care_01", "What infection control measures are required during personal care?", ["IPC", "CARE"], "medium"),
+        ("cross_emergency_care_01", "How do emergency procedures change for residents on isolation precautions?", ["EPM", "IPC"], "hard"),
+        ("cross_privacy_admin_01", "What documentation is required for privacy breach incidents?", ["PRV", "ADM"], "medium"),
+    ],
+    "procedural": [
+        ("procedure_admission_01", "What steps are involved in the resident admission process?", ["ADM", "CARE"], "medium"),
+        ("procedure_incident_01", "How should staff respond to a resident fall incident?", ["CARE", "ADM"], "medium"),
+        ("procedure_discharge_01", "What documentation is required for resident discharge?", ["ADM", "PRV"], "medium"),
+    ],
+    "compliance": [
+        ("compliance_training_01", "What training is required for new nursing staff?", ["ADM", "CARE"], "medium"),
+        ("compliance_documentation_01", "How long must resident care records be retained?", ["ADM", "PRV"], "hard"),
+        ("compliance_reporting_01", "What incidents must be reported to regulatory authorities?", ["ADM", "LEG"], "hard"),
+    ],
+    "safety": [
+        ("safety_chemical_01", "How should cleaning chemicals be stored and labeled?", ["EVS", "MAINT"], "easy"),
+        ("safety_lift_01", "What safety procedures apply when using mechanical lifts?", ["CARE", "MAINT"], "medium"),
+        ("safety_outbreak_01", "What steps should be taken during an infectious disease outbreak?", ["IPC", "EPM"], "hard"),
+    ],
+}
+
+
+def test_queries(spark: SparkSession) -> DataFrame:
+    """The test queries as a table. Which documents they should find is not stated; ``expected_by_section`` finds those."""
+    rows = [(i, t, kind, s, d) for kind, found in TEST_QUERIES.items() for i, t, s, d in found]
+    return spark.createDataFrame(rows, "query_id string, text string, query_type string, expected_sections array<string>, difficulty string")
+
+
+test_queries.__test__ = False
+
+
+def expected_by_section(queries: DataFrame, documents: DataFrame, section: str = "policy_acronym", key: str = "doc_id") -> DataFrame:
+    """``query_id`` and ``key`` of the documents in each query's sections."""
+    wanted = queries.select("query_id", F.explode("expected_sections").alias(section)).distinct()
+    return documents.select(key, section).join(F.broadcast(wanted), section).select("query_id", key)
+
+
+def save_evaluation(models: DataFrame, evaluations: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The models and evaluations with new results added.
+
+    ``results`` has ``provider_name``, ``model_name``, ``dimension``, ``cost_per_1k`` and the measures, which are columns
+    of ``evaluations`` too. A model is known by its provider, the name up to the first ``_``, and its model name; one that is not
+    there is added with the next ids, in the order of those names.
+    """
+    named = results.withColumn("provider", F.substring_index("provider_name", "_", 1))
+    keys = ["provider", "model_name"]
+    missing = named.groupBy(*keys).agg(F.first("dimension").alias("dimension"), F.first("cost_per_1k").alias("cost_per_1k")).join(models.select(*keys), keys, "left_anti")
+    top = models.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
+    fresh = missing.join(top).select((F.col("top") + F.row_number().over(Window.orderBy(*keys))).cast("long").alias("id"), *keys, "dimension", "cost_per_1k", F.lit(True).alias("is_active"))
+    after = models.unionByName(fresh, allowMissingColumns=True)
+    rows = named.join(after.select(F.col("id").alias("embedding_model_id"), *keys), keys)
+    rows = rows.select(*[F.col(c) for c in evaluations.columns])
+    return after, evaluations.unionByName(rows)

@@ -91,16 +91,29 @@ def similar(vectors: DataFrame, value, limit: int = 5, exclude_self: bool = True
 def batch_search(vectors: DataFrame, queries: DataFrame, limit: int = 20, vector: str = "embedding", key: str = "vec_id", query_key: str = "query_id") -> DataFrame:
     """``query_id``, ``key``, ``score``, ``rank``: the best rows by cosine for each query; ties by key.
 
-    Every task scores its rows against a block of queries and keeps the best of each, so what is shuffled is
-    ``limit`` rows by query and task. Queries are a stated set; each block is checked against ``BLOCK_NUMBERS``.
+    Queries go to the workers in blocks of ``BLOCK_NUMBERS`` numbers, which the driver reads one after the other. A task
+    scores each batch of its rows against a block and keeps the best of each, so what is shuffled is ``limit`` rows by
+    query and batch, and neither side is held whole anywhere.
     """
-    rows = queries.select(query_key, vector).orderBy(query_key).collect()
-    width = len(rows[0][1]) if rows else 1
-    step = max(1, BLOCK_NUMBERS // max(1, width))
-    kind, id_kind = vectors.schema[key].dataType.simpleString(), queries.schema[query_key].dataType.simpleString()
+    id_kind = queries.schema[query_key].dataType.simpleString()
+    kind = vectors.schema[key].dataType.simpleString()
     out = None
-    for a in range(0, max(1, len(rows)), step):
-        block = rows[a : a + step]
+
+    def blocks() -> Iterator[list]:
+        block, size = [], 0
+        for r in queries.select(query_key, vector).toLocalIterator():
+            block.append(r)
+            size += len(r[1])
+            if size >= BLOCK_NUMBERS:
+                yield block
+                block, size = [], 0
+        yield block
+
+    for block in blocks():
+        if not block:
+            nothing = vectors.select(F.lit(None).cast(id_kind).alias(query_key), key, F.lit(0.0).alias("score")).where(F.lit(False))
+            out = nothing if out is None else out
+            break
         names, matrix = [r[0] for r in block], np.array([r[1] for r in block], dtype=np.float64).reshape(len(block), -1)
         norms = np.linalg.norm(matrix, axis=1, keepdims=True)
         shared = vectors.sparkSession.sparkContext.broadcast((names, np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)))
@@ -129,6 +142,19 @@ def batch_search(vectors: DataFrame, queries: DataFrame, limit: int = 20, vector
     return ranked.where(F.col("rank") <= limit)
 
 
+def search_with_context(
+    vectors: DataFrame, query: list[float], acronym: str | None = None, document_type: str | None = None, section: str | None = None, limit: int | None = 10, threshold: float = 0.7, **how
+) -> DataFrame:
+    """Search among the chunks of a manual, a type of document and a section; an empty or missing one does not filter."""
+    wanted = {"policy_acronym": acronym, "document_type": document_type, "section": section}
+    return search(vectors, query, limit, threshold=threshold, where=matches({k: v for k, v in wanted.items() if v}), **how)
+
+
+def search_policies(vectors: DataFrame, query: list[float], acronym: str | None = None, document_type: str | None = None, limit: int | None = 10, threshold: float = 0.6, **how) -> DataFrame:
+    """Search for documents by what they are about; a wider threshold, and no section."""
+    return search_with_context(vectors, query, acronym, document_type, None, limit, threshold, **how)
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str = "vec_id") -> DataFrame:
     """Rows of ``new`` replace rows of ``old`` with the same key; the others stay."""
     return old.join(new.select(key), key, "left_anti").unionByName(new)
@@ -151,12 +177,72 @@ def collection_stats(vectors: DataFrame, vector: str = "embedding") -> DataFrame
     return vectors.agg(F.count("*").alias("total_vectors"), F.max(F.size(vector)).alias("dimension"))
 
 
-def chunk_payload(chunks: DataFrame) -> DataFrame:
-    """What is stored with a chunk's vector: text cut at 1000 characters, defaults, and an id from its content."""
-    return chunks.select(
-        F.sha2(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string"), F.substring(F.sha2("chunk_text", 256), 1, 16)), 256).alias("vector_id"),
-        "doc_id",
-        F.coalesce("chunk_index", F.lit(0)).alias("chunk_index"),
+def vector_id(document: Column, index: Column, text: Column) -> Column:
+    """An id from a chunk's document, number and content, so that a second run gives the same."""
+    return F.sha2(F.concat_ws("|", document.cast("string"), index.cast("string"), F.substring(F.sha2(text, 256), 1, 16)), 256)
+
+
+# Payload fields that a chunk's metadata fills, by name and type.
+LIFTED = {
+    "policy_acronym": "string", "policy_manual": "string", "section": "string", "subsection": "string", "document_type": "string",
+    "synthetic_description": "boolean", "confidence_score": "double", "generated_keywords": "array<string>", "use_cases": "array<string>",
+}
+
+
+def _fields(metadata: Column, names: set[str], lifted: dict[str, str]) -> list[Column]:
+    """Fields of a metadata struct; what it lacks is null."""
+    return [(metadata[k] if k in names else F.lit(None)).cast(t).alias(k) for k, t in lifted.items()]
+
+
+def chunk_payload(chunks: DataFrame, model: str = "hashing", created: Column | None = None) -> DataFrame:
+    """What is stored with a chunk's vector, 18 fields after its ``vector_id``.
+
+    ``chunks`` has ``doc_id``, ``chunk_index``, ``chunk_text``, and may have ``chunk_id``, ``document_index``,
+    ``file_path``, ``page_numbers`` and the struct ``context_metadata``. Text is cut at 1000 characters; a missing number
+    is 0, missing lists are empty, and a chunk is not synthetic unless its metadata says so.
+    """
+    have = set(chunks.columns)
+    names = set(chunks.schema["context_metadata"].dataType.names) if "context_metadata" in have else set()
+    own = lambda c, kind: (F.col(c) if c in have else F.lit(None)).cast(kind)
+    empty = F.array().cast("array<string>")
+    rows = chunks.withColumn("__id", vector_id(F.col("doc_id"), F.col("chunk_index"), F.col("chunk_text")))
+    lifted = rows.select(
+        F.col("__id").alias("vector_id"),
+        F.coalesce(own("chunk_id", "string"), F.col("__id")).alias("chunk_id"),
+        F.col("doc_id").alias("document_id"),
+        own("document_index", "string").alias("document_index"),
         F.substring("chunk_text", 1, 1000).alias("text"),
-        F.lit(False).alias("is_synthetic"),
+        F.coalesce("chunk_index", F.lit(0)).alias("chunk_index"),
+        *_fields(F.col("context_metadata") if names else F.lit(None), names, LIFTED),
+        own("file_path", "string").alias("file_path"),
+        F.coalesce(own("page_numbers", "array<int>"), F.array().cast("array<int>")).alias("page_numbers"),
+        (created if created is not None else F.current_timestamp()).alias("created_at"),
+        F.lit(model).alias("embedding_model"),
+    )
+    return lifted.withColumns({
+        "synthetic_description": F.coalesce("synthetic_description", F.lit(False)),
+        "generated_keywords": F.coalesce("generated_keywords", empty),
+        "use_cases": F.coalesce("use_cases", empty),
+    })
+
+
+def nested_payload(chunks: DataFrame) -> DataFrame:
+    """The payload that keeps a chunk whole: 11 fields after ``vector_id``, metadata as a struct, text and Markdown in full.
+
+    ``chunks`` has the columns of ``chunking.chunk_documents``.
+    """
+    ident = vector_id(F.col("doc_id"), F.col("chunk_index"), F.col("chunk_text"))
+    return chunks.select(
+        ident.alias("vector_id"),
+        ident.alias("chunk_id"),
+        F.col("doc_id").alias("document_id"),
+        F.col("context_metadata.file_path").alias("file_path"),
+        F.col("context_metadata.document_index").alias("document_index"),
+        "section_title",
+        "context_metadata",
+        F.array().cast("array<int>").alias("page_numbers"),
+        "chunk_text",
+        "chunk_markdown",
+        "token_count",
+        F.col("position").alias("document_position"),
     )

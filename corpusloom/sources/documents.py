@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+import json
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -108,59 +110,136 @@ def parse_quality(text: Column, markdown: Column) -> Column:
     )
 
 
-def docx_markdown(content: bytes) -> tuple[str, str]:
-    """Markdown and plain text of a Word file; headings are in the Markdown only."""
+def markdown_rows(rows: list[list[str | None]]) -> str:
+    """``table_to_markdown`` for rows in Python."""
+    if not rows:
+        return ""
+    n = max(map(len, rows))
+    filled = [[(c or "") for c in r] + [""] * (n - len(r)) for r in rows]
+    widths = [max(len(r[i]) for r in filled) for i in range(n)]
+    lines = ["| " + " | ".join(c.ljust(w) for c, w in zip(r, widths, strict=True)) + " |" for r in filled]
+    return "\n".join([lines[0], "| " + " | ".join("-" * w for w in widths) + " |", *lines[1:]]) + "\n\n"
+
+
+@dataclass(frozen=True)
+class Parsed:
+    """What a file says: Markdown, plain text, pages, and its properties as JSON."""
+
+    markdown: str
+    text: str
+    pages: int
+    properties: str
+
+
+def _mark(text: str, bold: bool, italic: bool) -> str:
+    mark = "***" if bold and italic else "**" if bold else "*" if italic else ""
+    return mark + text + mark
+
+
+def _word_table(table: ElementTree.Element) -> list[list[str | None]]:
+    text = lambda cell: "\n".join("".join(t.text or "" for t in p.iter(f"{_W}t")) for p in cell.iter(f"{_W}p")).strip()
+    return [[text(c) for c in row.findall(f"{_W}tc")] for row in table.findall(f"{_W}tr")]
+
+
+# Properties of a Word file by the names of its core part.
+_PROPERTIES = {"title": "title", "creator": "author", "subject": "subject", "created": "created", "modified": "modified"}
+
+
+def parse_docx(content: bytes) -> Parsed:
+    """A Word file: paragraphs first and tables after them, as one page. Headings and tables are in the Markdown only."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         body = ElementTree.fromstring(z.read("word/document.xml")).find(f"{_W}body")
+        core = ElementTree.fromstring(z.read("docProps/core.xml")) if "docProps/core.xml" in z.namelist() else []
+    found = {e.tag.rsplit("}", 1)[-1]: e.text for e in core}
     marked, plain = [], []
-    for p in body.iter(f"{_W}p"):
+    for p in body.findall(f"{_W}p"):
         style = p.find(f"{_W}pPr/{_W}pStyle")
         name = style.get(f"{_W}val", "") if style is not None else ""
         runs = []
         for r in p.iter(f"{_W}r"):
-            t = "".join(x.text or "" for x in r.iter(f"{_W}t"))
             bold, italic = (r.find(f"{_W}rPr/{_W}{k}") is not None for k in "bi")
-            runs.append((t, "***" if bold and italic else "**" if bold else "*" if italic else ""))
-        text = "".join(t for t, _ in runs)
+            runs.append(("".join(x.text or "" for x in r.iter(f"{_W}t")), bold, italic))
+        text = "".join(t for t, _, _ in runs)
         if not text.strip():
             continue
         if name.lower().startswith("heading"):
             level = name[7:].strip()
-            marked.append("#" * min(6, max(1, int(level) if level.isdigit() else 1)) + " " + text)
+            marked.append("#" * min(6, max(1, int(level) if level.isdigit() else 1)) + " " + text + "\n")
         else:
-            marked.append("".join(m + t + m for t, m in runs))
+            marked.append("".join(_mark(*r) for r in runs if r[0]))
             plain.append(text)
-    return "\n\n".join(marked), "\n".join(plain)
+    marked += [markdown_rows(rows) for t in body.findall(f"{_W}tbl") if (rows := _word_table(t))]
+    return Parsed("\n".join(marked), "\n".join(plain), 1, json.dumps({v: found.get(k) for k, v in _PROPERTIES.items()}))
 
 
-def parse_documents(files: DataFrame) -> DataFrame:
-    """``file_path``, ``markdown``, ``raw_text``, ``word_count``, ``parsing_success``, ``error``.
+def page_markdown(page: dict, tables: list[list[list[str | None]]], number: int, headings: bool = True) -> tuple[str, str]:
+    """Markdown and text of a PDF page from its blocks (of lines of spans with ``text``, ``size`` and ``flags``).
 
-    Word files are parsed here; PDF files where the optional library is installed. What fails is a row with its
-    error, never an exception.
+    Spans in type above 14 points are headings, the larger the higher, to the third level; bit 4 of the flags is bold,
+    bit 1 italic. Tables come after the lines, and a rule with the page's number after a page that has anything.
+    Without ``headings``, lines that end in one are left out of the Markdown (and stay in the text).
+    """
+    texts, marked = [], []
+    for line in (ln for block in page["blocks"] for ln in block.get("lines", ())):
+        plain, out, last = [], "", False
+        for span in line["spans"]:
+            t = span["text"].strip()
+            if not t:
+                continue
+            plain.append(t)
+            last = span.get("size", 12) > 14
+            flags = span.get("flags", 0)
+            out += "#" * min(3, max(1, int((span["size"] - 12) / 2))) + f" {t}\n\n" if last else _mark(t, bool(flags & 16), bool(flags & 2)) + " "
+        if plain:
+            texts.append(" ".join(plain))
+            if headings or not last:
+                marked.append(out.strip())
+    marked += [markdown_rows(rows) for rows in tables if rows]
+    md = "\n".join(marked)
+    return md + (f"\n\n---\n*Page {number}*\n\n" if md else ""), "\n".join(texts)
+
+
+def parse_pdf(content: bytes) -> Parsed:
+    """A PDF file, where the optional library is installed."""
+    import fitz
+
+    with fitz.open(stream=content, filetype="pdf") as doc:
+        pages = [page_markdown(p.get_text("dict"), [t.extract() for t in p.find_tables()], i + 1) for i, p in enumerate(doc)]
+        return Parsed("\n\n".join(m for m, _ in pages), "\n\n".join(t for _, t in pages), len(pages), json.dumps(dict(doc.metadata or {})))
+
+
+#: Parsers by suffix; further kinds of files are added by the caller.
+PARSERS: dict[str, Callable[[bytes], Parsed]] = {".docx": parse_docx, ".pdf": parse_pdf}
+
+
+def parse_documents(files: DataFrame, parsers: dict[str, Callable[[bytes], Parsed]] | None = None) -> DataFrame:
+    """``file_path``, ``markdown``, ``raw_text``, ``page_count``, ``document_metadata`` (JSON), ``error``, ``word_count``,
+    ``parsing_success``.
+
+    What fails, or has a suffix that no parser is for, is a row with its error, never an exception.
     """
+    known = dict(PARSERS if parsers is None else parsers)
 
-    def one(path: str, content: bytes) -> tuple[str | None, str | None, str | None]:
+    def one(path: str, content: bytes) -> tuple[str | None, str | None, int | None, str | None, str | None]:
+        suffix = "." + path.rsplit(".", 1)[-1].lower()
         try:
-            if path.lower().endswith(".docx"):
-                return *docx_markdown(content), None
-            if path.lower().endswith(".pdf"):
-                import fitz
-
-                pages = [p.get_text() for p in fitz.open(stream=content, filetype="pdf")]
-                return "\n\n".join(f"{t}\n---\n*Page {i + 1}*" for i, t in enumerate(pages)), "\n\n".join(pages), None
-            return None, None, f"Unsupported file type: {path.rsplit('.', 1)[-1]}"
+            if suffix not in known:
+                return None, None, None, None, f"Unsupported file type: {suffix[1:]}"
+            p = known[suffix](content)
+            return p.markdown, p.text, p.pages, p.properties, None
         except Exception as e:  # a broken file is a result
-            return None, None, f"{type(e).__name__}: {e}"
+            return None, None, None, None, f"{type(e).__name__}: {e}"
+
+    names = ["file_path", "markdown", "raw_text", "page_count", "document_metadata", "error"]
+    types = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [(p, *one(p, c)) for p, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-            path, md, raw, err = zip(*rows, strict=True) if rows else [()] * 4
-            arrays = [pa.array(path, pa.string()), pa.array(md, pa.string()), pa.array(raw, pa.string()), pa.array(err, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["file_path", "markdown", "raw_text", "error"])
+            cols = list(zip(*rows, strict=True)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    parsed = files.select("file_path", "content").mapInArrow(run, "file_path string, markdown string, raw_text string, error string")
+    parsed = files.select("file_path", "content").mapInArrow(run, "file_path string, markdown string, raw_text string, page_count int, document_metadata string, error string")
     return parsed.withColumns({"word_count": F.size(split_words(F.coalesce("raw_text", F.lit("")))), "parsing_success": F.col("error").isNull()})
 
 
