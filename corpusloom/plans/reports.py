@@ -126,3 +126,29 @@ def age(seconds: Column) -> Column:
 
 def shorten(text: Column, most: int = 40) -> Column:
     return F.when(F.char_length(text) > most, F.concat(F.substring(text, 1, most - 3), F.lit("..."))).otherwise(text)
+
+
+def eta(pending: Column, per_minute: Column, now: Column) -> Column:
+    """(hours remaining, time of completion) at a rate; null where nothing is pending or nothing moves."""
+    hours = F.when((pending > 0) & (per_minute > 0), pending / (per_minute * 60.0))
+    return F.struct(hours.alias("hours_remaining"), F.timestamp_micros(F.unix_micros(now.cast("timestamp")) + (hours * 3600e6).cast("long")).alias("eta"))
+
+
+def vector_estimate(vectors: Column, synced: Column, total: Column) -> Column:
+    """Vectors to expect in the end: those of a synced file times all files; null before the first."""
+    return F.when((vectors > 0) & (synced > 0), vectors / synced * total)
+
+
+def recent_errors(state: DataFrame, n: int = 3) -> DataFrame:
+    """The files that failed last."""
+    return recent(state.where(F.col("sync_status") == "error"), "updated_at", "file_path", n)
+
+
+def recent_processing(state: DataFrame, n: int = 5) -> DataFrame:
+    """The files that were taken up last."""
+    return recent(state.where(F.col("sync_status") == "processing"), "updated_at", "file_path", n)
+
+
+def token_stats(chunks: DataFrame, tokens: str = "token_count") -> DataFrame:
+    """Mean, least and most tokens of a chunk."""
+    return chunks.agg(F.avg(tokens).alias("avg_tokens"), F.min(tokens).alias("min_tokens"), F.max(tokens).alias("max_tokens"))

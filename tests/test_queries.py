@@ -3,7 +3,11 @@
 import duckdb
 import pytest
 
-from corpusloom.plans import queries as Q
+from corpusloom.plans import extended
+from corpusloom.plans import queries as library
+
+SQL = library.oracle_sql() | extended.oracle_sql()
+QUERIES = library.queries() | extended.queries()
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -21,9 +25,9 @@ def duck(sf):
     return c
 
 
-@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, sf, name):
-    ours, theirs = Q.queries()[name](spark, sf).toPandas(), duck.sql(Q.oracle_sql()[name]).df()
+    ours, theirs = QUERIES[name](spark, sf).toPandas(), duck.sql(SQL[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert rows(ours) == rows(theirs)
 
