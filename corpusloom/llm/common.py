@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import functools
 import gc
-from collections.abc import Callable, Iterator
+import sys
+from collections.abc import Callable, Hashable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: A word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -47,11 +52,29 @@ def tidy() -> None:
 Batches = Iterator[pa.RecordBatch]
 
 
-def steady(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """A function for ``mapInArrow`` that leaves its worker's memory tidy."""
+def cached(name: str, key: Hashable, make: Callable[[], T]) -> T:
+    """What a worker process keeps from task to task under a name, one value for each. Functions travel by value, so the
+    process keeps it where every copy of this function finds it."""
+    held = vars(sys).setdefault("_corpusloom_held", {})
+    if held.get(name, (None,))[0] != key:
+        held.pop(name, None)
+        held[name] = key, make()
+    return held[name][1]
+
+
+def steady(run: Callable[[Batches], Batches] | None = None, keeps: tuple[str, ...] = ()):
+    """A function for ``mapInArrow`` that leaves its worker's memory tidy: workers go from one operator's tasks to the
+    next one's, so what is ``cached`` under other names than it ``keeps`` goes first."""
+    if run is None:
+        return functools.partial(steady, keeps=keeps)
 
     @functools.wraps(run)
     def wrapped(batches: Batches) -> Batches:
+        held = vars(sys).setdefault("_corpusloom_held", {})
+        if others := held.keys() - set(keeps):
+            for name in others:
+                del held[name]
+            tidy()
         try:
             yield from run(batches)
         finally:

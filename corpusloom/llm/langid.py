@@ -10,21 +10,23 @@ a language is the exact sum over all its bytes, and the shortest code wins.
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import small_batches
+from corpusloom.llm.common import Batches, small_batches, steady
 from corpusloom.session import written
 
-#: Bound of training: documents of each language (expected). Bytes and the longest context.
-SAMPLE_DOCS, SYMBOLS, ORDER = 3000, 256, 3
+#: Bounds of training: documents of each language (expected), documents of all together, and languages, the most
+#: frequent ones. Then the number of bytes there are, and the longest context.
+SAMPLE_DOCS, ALL_DOCS, LANGUAGES, SYMBOLS, ORDER = 3000, 100_000, 500, 256, 3
+#: One labelled document in so many is spared from training where rejection bounds are asked for (see ``bounds``).
+SPARE = 8
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
 
@@ -52,7 +54,7 @@ class Model:
 
 def _table(keys: np.ndarray) -> Table:
     """A hash table of distinct numbers, which gives their places in ``keys``."""
-    width = max(4, int(4 * len(keys)).bit_length())
+    width = max(4, int(2 * len(keys)).bit_length())
     slots, rows, shift = np.zeros(1 << width, np.uint64), np.full(1 << width, -1, np.int32), 64 - width
     left = np.arange(len(keys))
     at = ((keys * _ODD) >> np.uint64(shift)).astype(np.int64)
@@ -155,26 +157,33 @@ def code_lengths(counts: np.ndarray, symbols: int, order: int) -> np.ndarray:
     return (-np.log2(np.maximum(p, 1e-12))).astype(np.float32).reshape(-1)
 
 
+def _share(draw: Column, n: Column, most: Column) -> Column:
+    """Whether a uniform long is among about ``most`` of ``n``."""
+    return (n <= most) | (F.shiftright(draw, 1).cast("double") <= -(2.0**62) + 2.0**63 * (most / n))
+
+
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -> Model:
     """Fit a model to rows of (``lang``, ``text``, ``draw``): a null language or text teaches nothing.
 
-    At most about ``sample_docs`` documents of each language are read: those whose ``draw`` (a uniform long) is low
-    enough for the language's count. The driver gets the sample's distinct (context, byte) numbers, counted by language.
+    At most about ``sample_docs`` documents of each language are read, and fewer where ``ALL_DOCS`` are not enough for
+    all: those whose ``draw`` (a uniform long) is low enough for the language's count. The ``LANGUAGES`` most frequent
+    labels are learned (ties by code point). The driver gets the sample's distinct (context, byte) numbers, counted by
+    language, so its memory is bounded by these three numbers.
     """
     spark = labelled.sparkSession
     small_batches(spark)
     rows = labelled.where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    sizes = {r["lang"]: r["n"] for r in counts.collect()}
     languages = tuple(sorted(sizes))
     if not languages:
         return Model((), (), (), order)
-    keep = F.lit(False)
-    for lang, n in sizes.items():
-        limit = (1 << 62) if n <= sample_docs else -(1 << 62) + int((1 << 63) * (sample_docs / n))
-        keep = keep | ((F.col("lang") == lang) & (F.shiftright("draw", 1) <= limit))
-    sample = written(rows.where(keep).select("lang", "text"), "lang-sample")
+    most = min(sample_docs, max(1, ALL_DOCS // len(languages)))
+    known = F.broadcast(spark.createDataFrame(list(sizes.items()), "lang string, n long"))  # ``LANGUAGES`` rows at most
+    sample = written(rows.join(known, "lang").where(_share(F.col("draw"), F.col("n"), F.lit(most))).select("lang", "text"), "lang-sample")
 
-    def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @steady
+    def gram_counts(batches: Batches) -> Batches:
         totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
             by: dict[str, list[np.ndarray]] = {}
@@ -262,23 +271,37 @@ def score(model: Model, texts: Sequence[str | None], block: int = 1 << 20) -> tu
     return out, scores, rate
 
 
-def predict(documents: DataFrame, model: Model, text: Column, *keep: Column) -> DataFrame:
-    """The columns ``keep`` of each row with ``lang_pred``, ``score`` and ``bits`` (per byte) of its whole text."""
+def _shared(spark: SparkSession, model: Model):
+    """The model as a broadcast, one however often it is used: workers hold it as long as the driver does."""
+    if not hasattr(model, "_shared"):
+        object.__setattr__(model, "_shared", spark.sparkContext.broadcast((model.languages, model.seen, model.escapes, model.order)))
+    return model._shared
+
+
+def predict(documents: DataFrame, model: Model, text: Column | str, *keep: Column | str) -> DataFrame:
+    """The columns ``keep`` of each row with ``lang_pred``, ``score`` and ``bits`` (per byte) of its whole text.
+
+    ``text`` is a column, or the name of one of ``keep``, which then goes to the workers once. Null texts and those
+    without a letter are ``und`` with score and bits 0; a very long text is coded in blocks, each after the bytes before.
+    """
     spark = documents.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((model.languages, model.seen, model.escapes, model.order))
-    thin = documents.select(*keep, text.cast("string").alias("__text"))
-    kept = thin.columns[:-1]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in thin.schema.fields[:-1])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shared = _shared(spark, model)
+    own = isinstance(text, str)
+    thin = documents.select(*keep) if own else documents.select(*keep, text.cast("string").alias("__text"))
+    kept = thin.columns if own else thin.columns[:-1]
+    at = kept.index(text) if own else len(kept)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in thin.schema.fields[: len(kept)])
+
+    @steady
+    def run(batches: Batches) -> Batches:
         m = Model(*shared.value)
         for b in batches:
-            langs, scores, bits = score(m, b.column(b.num_columns - 1).to_pylist())
-            arrays = [b.column(i) for i in range(b.num_columns - 1)] + [pa.array(langs, pa.string()), pa.array(scores), pa.array(bits)]
+            langs, scores, bits = score(m, b.column(at).to_pylist())
+            arrays = [*b.columns[: len(kept)], pa.array(langs, pa.string()), pa.array(scores), pa.array(bits)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "lang_pred", "score", "bits"])
 
-    return thin.mapInArrow(run, f"{schema + ', ' if schema else ''}lang_pred string, score double, bits double")
+    return thin.mapInArrow(run, f"{schema}lang_pred string, score double, bits double")
 
 
 def held_out(key: Column) -> Column:
@@ -286,17 +309,51 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "utf-8")) % 3 == 1, F.lit(False))
 
 
-def fit_on(documents: DataFrame) -> Model:
-    """A model of the documents that are not held out and have a language."""
-    rows = documents.where(~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64(F.lit(3), "doc_id").alias("draw"))
-    return train(rows)
+def _labelled(documents: DataFrame) -> DataFrame:
+    """Rows that may be learned from, with a uniform ``draw`` from the text."""
+    return documents.where(~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64(F.lit(3), "text").alias("draw"))
+
+
+def fit_on(documents: DataFrame, spare: int | None = None) -> Model:
+    """A model of the documents that are not held out and have a language; one in ``spare`` is left for ``bounds``."""
+    rows = _labelled(documents)
+    return train(rows if spare is None else rows.where(F.pmod("draw", F.lit(spare)) != 0))
+
+
+def bounds(documents: DataFrame, model: Model, spare: int = SPARE, sample_docs: int = SAMPLE_DOCS) -> dict[str, float]:
+    """By language, the bits per byte above which a text is in none of the learned languages.
+
+    From the code lengths of labelled texts that were spared from training (about ``sample_docs`` of each language at
+    most): the median, and six times as far above it as the 99th percentile is. A language with fewer than ten such
+    texts gets the widest bound of the others, or bytes' own eight bits where there is none.
+    """
+    rows = _labelled(documents).where((F.pmod("draw", F.lit(spare)) == 0) & F.col("lang").isin(*model.languages))
+    n = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    rows = rows.join(F.broadcast(n), "lang").where(_share(F.xxhash64("draw"), F.col("n"), F.lit(sample_docs)))
+    coded = predict(rows, model, "text", "lang", "text").where("lang = lang_pred")
+    q = coded.groupBy("lang").agg(F.count("*").alias("n"), F.percentile_approx("bits", [0.5, 0.99], 1000).alias("q")).where("n >= 10").collect()
+    found = {r["lang"]: min(8.0, r["q"][0] + 6 * (r["q"][1] - r["q"][0])) for r in q}
+    widest = max(found.values(), default=8.0)
+    return {lang: found.get(lang, widest) for lang in model.languages}
+
+
+#: Bits that a whole text may cost beyond its language's bound, so that a few words are not judged by the rate alone.
+SLACK = 40.0
+
+
+def is_foreign(limits: dict[str, float], lang: Column, bits: Column, size: Column) -> Column:
+    """Whether a text (of ``size`` bytes) is ``und`` or costs more than its language's bound."""
+    bound = F.create_map(*[x for k, v in limits.items() for x in (F.lit(k), F.lit(v))])
+    over = bits > F.try_element_at(bound, lang) + F.lit(SLACK) / F.greatest(size, F.lit(1))
+    return (lang == UNDETERMINED) | F.coalesce(over, F.lit(False))
 
 
 def identify(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of every document; the text alone decides.
 
     Null texts and texts without a letter give ``und`` and score 0; so does everything if no row has a language.
-    Repeated rows are each predicted. An empty table gives an empty result.
+    Repeated rows are each predicted, null ids are not held out, and further columns of any name are left out. An empty
+    table gives an empty result.
     """
     model = fit_on(documents)
     return predict(documents, model, F.col("text"), F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out")).drop("bits")

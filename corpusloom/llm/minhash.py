@@ -18,14 +18,13 @@ Texts lie in buckets of their id, so a round deals out pairs of ids, and a text
 from __future__ import annotations
 
 import math
-import sys
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import Batches, small_batches, steady
+from corpusloom.llm.common import Batches, cached, small_batches, steady
 from corpusloom.llm.repeats import Hasher, _mix, split_units, text_id
 from corpusloom.session import Scratch, release
 
@@ -164,20 +163,12 @@ class Sampler:
         return out
 
 
-def sampler_for(samples: int) -> Sampler:
-    """One sampler for each worker process, kept where every copy of this function finds it."""
-    kept = vars(sys).setdefault("_corpusloom_samplers", {})
-    if samples not in kept:
-        kept[samples] = Sampler(samples)
-    return kept[samples]
-
-
 def signatures(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
     """``tid``, its band hashes, samples and number of shingles, for texts with words."""
 
-    @steady
+    @steady(keeps=("sampler",))
     def sign(batches: Batches) -> Batches:
-        sampler, weights = sampler_for(bands * rows), idf.value
+        sampler, weights = cached("sampler", bands * rows, lambda: Sampler(bands * rows)), idf.value
         for b in batches:
             tids, sets = [], []
             for tid, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):

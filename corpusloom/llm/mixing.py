@@ -3,6 +3,10 @@
 Documents are counted by exact length, the words that are left after whole passes over a source are split over the
 lengths, and what remains is met by a bounded-knapsack programme over the counts. Which documents of a length are
 taken follows a seeded hash, so reruns agree.
+
+The split gives every length its share of the budget in whole documents, so less than one document of each length
+remains. Where that is still more than ``KNAPSACK_WORDS``, single documents are taken from the longest down until it is
+not, as a programme over all of it would hold too much; the last words are met exactly wherever the documents left allow it.
 """
 
 from __future__ import annotations
@@ -17,8 +21,10 @@ from pyspark.sql.window import Window
 from corpusloom.llm.common import nested, word_count
 from corpusloom.session import written
 
-#: Buckets that the documents of one source and length are dealt to, so no task ranks a hot length alone.
-SALTS = 256
+#: Rows of one source and length that a task ranks; there are as many buckets of them as all rows make.
+SALT_ROWS = 50_000
+#: Sources up to which their table (a row each) is broadcast; more are joined.
+BROADCAST_SOURCES = 100_000
 #: Words below which the rest of a budget goes to the knapsack programme.
 KNAPSACK_WORDS = 50_000
 
@@ -104,17 +110,19 @@ def mix_sources(
     ``taken`` is a multiple of ``size`` from 0 to ``most`` times it. Null texts and texts without words have size 0
     and are never taken; a null source is a source of its own, last in order; repeated rows are separate documents
     that share a source and length, so any of them may be the one taken. An empty table gives an empty result.
-    The table of sources (one row each, as weights are stated by source) is held by the driver; the lengths of a
-    source are fitted in one task, which sees a row for each distinct length and never the documents.
+    Further columns of any name are allowed. The table of sources (one row each, as weights are stated by source) is
+    held by the driver; the lengths of a source are fitted in one task, which sees a row for each distinct length and
+    never the documents.
     """
     base = nested(documents)
+    salts = max(1, -(-documents.count() // SALT_ROWS))
     row = F.col("row")
     base = base.select(
         "row",
         word_count(row[text]).alias("size"),
         row[source].alias("source"),
         F.xxhash64(F.lit(seed), row[key], row[text]).alias("draw"),
-    ).withColumn("salt", F.pmod(F.col("draw"), F.lit(SALTS)).cast("int"))
+    ).withColumn("salt", F.pmod(F.col("draw"), F.lit(salts)).cast("int"))
     hist = written(base.groupBy("source", "size", "salt").agg(F.count("*").alias("n")), "lengths")
     sizes = [(r["source"], int(r["words"])) for r in hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).collect()]
     goal = targets(sizes, weights, share, most)
@@ -124,6 +132,8 @@ def mix_sources(
         "source string, source_size long, target double, whole int, budget long",
     )
 
+    held = F.broadcast(plan) if len(sizes) <= BROADCAST_SOURCES else plan
+
     def fitted(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("size").reset_index(drop=True)
         budget = int(frame["budget"].iloc[0])
@@ -132,7 +142,7 @@ def mix_sources(
 
     by_length = hist.groupBy("source", "size").agg(F.sum("n").alias("n"))
     extra = (
-        by_length.join(F.broadcast(plan), by_length["source"].eqNullSafe(plan["source"]))
+        by_length.join(held, by_length["source"].eqNullSafe(plan["source"]))
         .select(by_length["source"], "size", "n", "budget")
         .groupBy("source")
         .applyInPandas(fitted, "source string, size long, extra long")
@@ -147,7 +157,7 @@ def mix_sources(
     rank = F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy("draw"))
     b, q = base.withColumn("rank", rank).alias("b"), quota.alias("q")
     same = F.col("b.source").eqNullSafe(F.col("q.source")) & (F.col("b.size") == F.col("q.size")) & (F.col("b.salt") == F.col("q.salt"))
-    p = F.broadcast(plan).alias("p")
+    p = held.alias("p")
     mixed = b.join(q, same).join(p, F.col("b.source").eqNullSafe(F.col("p.source")))
     times = F.col("whole") + (F.col("rank") <= F.col("quota")).cast("int")
     return mixed.select("row", "b.size", "source_size", "target", (F.col("b.size") * times).alias("taken"), F.when(F.col("b.size") > 0, times).otherwise(0).alias("times"))

@@ -42,7 +42,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.sharding import hilbert_shards
 
-    placed = hilbert_shards(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), SHARDS)
+    placed = hilbert_shards(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), SHARDS, carry=["doc_id"])
     return placed.select("row.doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.llm.common import let, nested
+from corpusloom.llm.common import let
+from corpusloom.session import Scratch
 
-#: Buckets by hash inside a cell, so that a cell with a third of all rows is no single task's work.
-SPREAD = 256
+#: Rows of a cell that a task ranks, about: a cell has as many buckets by hash as all rows make of these.
+BUCKET_ROWS = 50_000
 
 
 def hilbert_index(dims: Sequence[Column], bits: int) -> Column:
@@ -75,52 +76,82 @@ def hilbert_shards(
     text: str = "text",
     key: str = "doc_id",
     labels: Sequence[str] = ("lang", "source"),
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Each input row, as struct ``row``, with ``size``, ``text_crc32``, ``cell``, ``shard`` and ``slot``.
+    """Each input row, as struct ``row`` (of the columns ``carry``, or all), with ``size``, ``text_crc32``, ``cell``,
+    ``shard`` and ``slot``.
 
     Law: rows. Shards are runs of the curve order whose counts differ by one at most; ``slot`` counts from 0 in each.
-    Dimensions: every column of ``labels`` (by its first bytes), the key, and the size on a logarithmic scale.
-    Rows of equal cell are ordered by a hash of key and text, then by key and checksum; rows equal in all of that are
-    interchangeable. Null keys and labels take coordinate 0; a null text has size 1 and checksum 0. An empty table
-    gives an empty result. The driver holds one row: the bounds of the dimensions and the number of rows.
+    Dimensions: every column of ``labels`` (by its first bytes), the key (a number), and the size on a logarithmic scale.
+    Groups: rows of equal text take the place of their row of least key (null last) and follow each other, so only a cut
+    between two shards parts them. Rows of equal cell are ordered by a hash of the text, then by one of key and text; rows equal in
+    all of that are interchangeable.
+
+    Null labels and a null key take coordinate 0; a key that is no number ends the job. A null text has size 1 and
+    checksum 0, and groups with empty ones. A very long text is measured, not moved, unless it is carried. Repeated rows
+    are rows of their own. An empty table gives an empty result. The driver holds one row: the bounds of the
+    dimensions and the number of rows.
     """
     top = (1 << bits) - 1
-    base = nested(documents)
-    row = F.col("row")
-    size = F.coalesce(F.octet_length(row[text]), F.lit(0)).cast("long") + 1
-    thin = base.select(
-        "row",
+    scratch = Scratch(documents.sparkSession)
+    own = lambda c: F.col(f"`{c}`")
+    names = [f"d{i}" for i in range(len(labels) + 2)]
+    size = F.coalesce(F.octet_length(own(text)), F.lit(0)).cast("long") + 1
+    dims = [*[_prefix(own(c)) for c in labels], F.coalesce(own(key).cast("long"), F.lit(0)), size]
+    plain = F.coalesce(own(text), F.lit(""))
+    thin = documents.select(
+        F.struct(*[own(c) for c in (documents.columns if carry is None else carry)]).alias("row"),
         size.alias("size"),
-        F.coalesce(F.crc32(F.encode(row[text], "utf-8")), F.lit(0)).cast("long").alias("text_crc32"),
-        F.xxhash64(row[key], row[text]).alias("draw"),
-        *[_prefix(row[c]).alias(f"d{i}") for i, c in enumerate(labels)],
-        F.coalesce(row[key].cast("long"), F.lit(0)).alias(f"d{len(labels)}"),
+        F.coalesce(F.crc32(F.encode(own(text), "utf-8")), F.lit(0)).cast("long").alias("text_crc32"),
+        F.xxhash64(plain).alias("ta"),
+        F.xxhash64(F.lit(7), plain).alias("tb"),
+        F.xxhash64(own(key), own(text)).alias("draw"),
+        own(key).cast("long").alias("key"),
+        *[c.alias(n) for c, n in zip(dims, names, strict=True)],
     )
-    names = [f"d{i}" for i in range(len(labels) + 1)]
-    bounds = documents.select(
-        *[_prefix(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(labels)], F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(0)).alias(names[-1])
-    ).agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{f.__name__}") for c in names for f in (F.min, F.max)]).first()
+    bounds = documents.select(*[c.alias(n) for c, n in zip(dims, names, strict=True)]).agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{f.__name__}") for c in names for f in (F.min, F.max)]).first()
     n = bounds["n"]
+    # a table of its own, so that Spark can split a text that very many rows share in the join
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", *names)).alias("first")
+    groups = scratch.table(thin.groupBy("ta", "tb").agg(first, F.count("*").alias("copies")).where("copies > 1"), "groups")
+    placed = thin.join(groups, ["ta", "tb"], "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    placed = placed.withColumns({c: F.coalesce(F.col("first")[c], F.col(c)) for c in names})
 
     def scaled(name: str) -> Column:
         low, high = bounds[f"{name}_min"] or 0, bounds[f"{name}_max"] or 0
         return F.floor((F.col(name).cast("double") - low) * (float(top + 1) / (high - low + 1.0))).cast("int")
 
-    dims = [F.least(F.lit(top), F.greatest(F.lit(0), scaled(c))) for c in names]
-    dims.append(F.least(F.lit(top), F.floor(F.log2(F.col("size").cast("double")) * ((top + 1) / 32.0)).cast("int")))
-    placed = thin.withColumn("cell", hilbert_index(dims, bits)).drop(*names).withColumn("salt", F.pmod(F.col("draw"), F.lit(SPREAD)).cast("int"))
-    fine = placed.groupBy("cell", "salt").agg(F.count("*").alias("n"))
-    shift = max(0, bits * len(dims) - 10)
-    fine = fine.withColumn("coarse", F.shiftright("cell", shift))
+    places = [F.least(F.lit(top), F.greatest(F.lit(0), scaled(c))) for c in names[:-1]]
+    places.append(F.least(F.lit(top), F.floor(F.log2(F.col(names[-1]).cast("double")) * ((top + 1) / 32.0)).cast("int")))
+    spread = max(1, -(-n // BUCKET_ROWS))
+    large = F.col("copies") > BUCKET_ROWS
+    placed = placed.withColumns({
+        "cell": hilbert_index(places, bits),
+        "salt": F.pmod("ta", F.lit(spread)),  # buckets inside a cell, so that a cell with a third of all rows is no single task's work
+        "own": F.when(large, F.col("ta")),  # and buckets of its own for a text that fills several
+        "part": F.when(large, F.pmod("draw", F.ceil(F.col("copies") / BUCKET_ROWS))).otherwise(0),
+    }).drop(*names, "first", "key")
+    bucket = ["cell", "salt", "own", "part"]
+    fine = placed.groupBy(*bucket).agg(F.count("*").alias("n"))
+    fine = fine.withColumn("coarse", F.shiftright("cell", max(0, bits * len(places) - 10)))
     above = fine.groupBy("coarse").agg(F.sum("n").alias("n"))  # 1024 rows at most
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     above = above.select("coarse", before(Window.orderBy("coarse")).alias("base"))
-    starts = fine.withColumn("within", before(Window.partitionBy("coarse").orderBy("cell", "salt"))).join(F.broadcast(above), "coarse")
-    starts = starts.select("cell", "salt", (F.col("base") + F.col("within")).alias("first"))
-    ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy("cell", "salt").orderBy("draw", "text_crc32")))
-    ordered = ranked.join(starts, ["cell", "salt"]).withColumn("pos", F.col("first") + F.col("rank") - 1)
+    starts = fine.withColumn("within", before(Window.partitionBy("coarse").orderBy(*bucket))).join(F.broadcast(above), "coarse")
+    starts = starts.select(*[F.col(c).alias(f"s_{c}") for c in bucket], (F.col("base") + F.col("within")).alias("first"))
+    ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy(*bucket).orderBy("ta", "tb", "draw", "text_crc32")))
+    same = F.col("own").eqNullSafe(F.col("s_own"))
+    for c in ("cell", "salt", "part"):
+        same = same & (F.col(c) == F.col(f"s_{c}"))
+    ordered = ranked.join(starts, same).withColumn("pos", F.col("first") + F.col("rank") - 1)
     # shard s holds positions ceil(s * n / shards) to ceil((s + 1) * n / shards) - 1
     shard = F.expr(f"pos * {shards}L div {max(n, 1)}L").cast("int")
     ordered = ordered.withColumn("shard", shard)
     start = F.expr(f"(shard * {max(n, 1)}L + {shards - 1}L) div {shards}L")
     return ordered.select("row", "size", "text_crc32", "cell", "shard", (F.col("pos") - start).alias("slot"))
+
+
+def write_shards(sharded: DataFrame, path: str) -> None:
+    """The rows as Parquet, one folder for each shard, in the order of their slots."""
+    rows = sharded.select("shard", "slot", "row.*")
+    rows.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -6,19 +6,15 @@ containment can be estimated between documents of very unequal lengths.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.llm.common import let, words
-from corpusloom.session import written
+from corpusloom.session import Scratch, release
 
 #: Words of a shingle, and the share of all hashes that a sketch retains.
 SHINGLE, FRACTION = 5, 0.25
-#: Rows of a range of keys that one task orders, and the quantiles that ranges start from.
-RANGE_ROWS, CUTS = 2000, 256
 
 
 def sketch(text: Column, shingle: int = SHINGLE, fraction: float = FRACTION) -> Column:
@@ -61,51 +57,41 @@ def encoded(a: Column) -> Column:
 
 
 def fingerprints(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: its key and its sketch as ``sketch``. Any text gives a sketch, null an empty one."""
+    """One row per document: its key and its sketch as ``sketch``. Any text gives a sketch, null and blank ones an empty
+    one; so may a text of few words, as the threshold is the same for all. A very long text keeps a fixed share of its
+    shingles. Repeated rows, null keys and further columns of any name are allowed; an empty table gives no row."""
     return documents.select(F.col(f"`{key}`").alias("doc_id"), sketch(F.col(f"`{text}`")).alias("sketch"))
 
 
-def _bucket(key: Column, cuts: list[int], parts: int) -> Column:
-    """The range of a key in falling order: cuts by binary search, each range split evenly into ``parts``."""
-    if not cuts:
-        return F.when(key.isNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-    steps = F.array(*[F.lit(1 << b) for b in range(len(cuts).bit_length() - 1, -1, -1)])
-    above = F.aggregate(steps, F.lit(0), lambda i, s: F.when(F.coalesce(F.get(bounds, i + s - 1) > key, F.lit(False)), i + s).otherwise(i))
-
-    def split(i: Column) -> Column:
-        high, low = F.get(bounds, i - 1), F.get(bounds, i)
-        share = (high - key).cast("double") / F.greatest(high - low, F.lit(1)).cast("double")
-        part = F.least(F.lit(parts - 1), F.greatest(F.lit(0), F.floor(share * parts)))
-        return i.cast("long") * parts + F.coalesce(part, F.lit(0))
-
-    return F.when(key.isNull(), F.lit((len(cuts) + 1) * parts)).otherwise(let(above, split)).cast("long")
-
-
-def with_next(documents: DataFrame, text: str = "text", key: str = "doc_id", range_rows: int = RANGE_ROWS) -> DataFrame:
+def with_next(documents: DataFrame, text: str = "text", key: str = "doc_id", ranges: int | None = None) -> DataFrame:
     """``doc_id``, ``text`` and the text of the next document in descending key order as ``next_text``.
 
-    The first follows the last. Null texts count as empty; null keys come last; rows of equal key are ordered by a
-    hash of their text. The keys are dealt to ranges of about ``range_rows`` rows; the first row of each range is
-    copied to the range before it, so every range is worked on alone. An empty table gives an empty result.
+    The first follows the last. Null texts count as empty, very long ones stay whole; null keys come last; rows of equal
+    key are ordered by a hash of their text, and equal rows follow each other. Further columns of any name are left out.
+    An empty table gives an empty result.
+
+    Rows are dealt once, to ranges of keys of about equal numbers of rows as Spark samples them (``ranges``, four for
+    each shuffle partition), and lie in buckets by range from then on. The first row of each range is what follows the
+    last of the range before: as many rows as there are ranges, which a join brings there.
     """
+    spark = documents.sparkSession
+    scratch = Scratch(spark)
     base = documents.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    n = base.agg(F.count("*").alias("n"), F.percentile_approx("doc_id", [i / CUTS for i in range(1, CUTS)], 10_000).alias("q")).first()
-    cuts = sorted(set(n["q"] or []), reverse=True)
-    parts = max(1, math.ceil(n["n"] / range_rows / CUTS))
-    base = base.withColumns({"tie": F.xxhash64("text"), "bucket": _bucket(F.col("doc_id"), cuts, parts)})
-    head = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"), F.col("tie").alias("t"))
-    heads = base.groupBy("bucket").agg(F.max(head).alias("head"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.desc_nulls_last("doc_id"), F.desc("tie")]
+    dealt = base.withColumn("tie", F.xxhash64("text")).repartitionByRange(ranges or 4 * buckets, *order).withColumn("part", F.spark_partition_id())
+    dealt = scratch.bucketed(dealt, "ranges", "part", dealt=True)
+    release(spark)
     # one row for each range, which is what a window without partitions gets
-    order = Window.orderBy("bucket")
-    heads = heads.select("head", F.col("bucket").alias("own"), F.coalesce(F.lag("bucket").over(order), F.max("bucket").over(Window.partitionBy())).alias("before"))
-    h = written(heads, "heads")
-    first = (F.col("bucket") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("head.id")) & (F.col("tie") == F.col("head.t"))
-    guests = base.join(F.broadcast(h), first).select("doc_id", "text", "tie", F.col("before").alias("bucket"), F.lit(True).alias("guest"))
-    dealt = base.withColumn("guest", F.lit(False)).unionByName(guests)
-    falling = Window.partitionBy("bucket").orderBy("guest", F.desc_nulls_last("doc_id"), F.desc("tie"))
-    followed = dealt.withColumn("next_text", F.lead("text").over(falling)).where("not guest")
-    return followed.select("doc_id", "text", "next_text")
+    head = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"), F.col("tie").alias("t"))
+    heads = scratch.table(dealt.groupBy("part").agg(F.max(head).alias("head")), "heads")
+    w = Window.orderBy("part")
+    first = dealt.join(heads, "part").where(F.col("doc_id").eqNullSafe(F.col("head.id")) & (F.col("tie") == F.col("head.t"))).groupBy("part").agg(F.first("text").alias("head_text"))
+    before = heads.select("part", F.coalesce(F.lag("part").over(w), F.max("part").over(Window.partitionBy())).alias("before"))
+    guests = scratch.table(before.join(first, "part").select(F.col("before").alias("part"), "head_text"), "guests")
+    scratch.drop(heads)
+    followed = dealt.withColumn("next_text", F.lead("text").over(Window.partitionBy("part").orderBy(*order)))
+    return followed.join(guests, "part").select("doc_id", "text", F.coalesce("next_text", "head_text").alias("next_text"))
 
 
 def edited(text: Column, following: Column) -> Column:

@@ -14,25 +14,26 @@ lost leaves at most unused files, never mixed ones.
 
 from __future__ import annotations
 
-import itertools
+import json
 import os
-import sys
 import uuid
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import small_batches
+from corpusloom.llm.common import Batches, cached, small_batches, steady
 from corpusloom.session import scratch_path, written
 
+#: Bytes of input for a file.
+FILE_BYTES = 128 << 20
 #: Distinct words whose ids a worker keeps.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 #: A special token of the vocabulary, put between words that are encoded together.
 SEPARATOR = "<|endoftext|>"
 #: Longer words are encoded each time.
@@ -40,7 +41,7 @@ CACHE_LENGTH = 64
 
 
 class WordEncoder:
-    """Encodes texts by words, with the ids of words seen before kept.
+    """Encodes texts by words, with the ids of words seen before kept in flat arrays.
 
     The tokenizer must not join text across spaces and newlines, which holds where white space is dropped and words
     are split by a pattern that matches no white space; ``encode`` then equals the tokenizer's own call.
@@ -52,76 +53,125 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end, self.separator = end_id, self.tokenizer.token_to_id(SEPARATOR)
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.units: dict[str, int] = {"": 1}
-        self.pool = np.array([self.end], dtype=np.uint32)
-        self.start = np.array([0, 0], dtype=np.int64)
-        self.length = np.array([1, 0], dtype=np.int64)
-
-    def learn(self, unknown: list[str]) -> None:
-        """Keep the ids of words, each made of a stem and the punctuation after it, which the tokenizer splits too."""
-        halves = [part for w in unknown for part in _halves(w)]
-        self.learn_units(sorted(set(halves) - self.units.keys()))
-        order = np.fromiter(map(self.units.__getitem__, halves), dtype=np.int64, count=len(halves))
-        ids, lengths = self._gather(order)
-        own = lengths[::2] + lengths[1::2]
-        self._extend(self.index, unknown, ids, np.cumsum(own) - own, own)
-
-    def learn_units(self, unknown: list[str]) -> None:
-        """Many units are one text for the tokenizer, with a special token between them."""
-        plain = [w for w in unknown if SEPARATOR not in w]
-        texts = [SEPARATOR.join(plain[i : i + 512]) + SEPARATOR for i in range(0, len(plain), 512)]
+        self.words = pa.array([""], pa.large_string())
+        self.pool = np.zeros(0, dtype=np.uint32)  # the ids of all words, one word after another
+        self.start, self.length, self.hits = (np.zeros(1, dtype=np.int64) for _ in range(3))
+
+    def _tokenized(self, plain: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of strings one after another, and the number of each. Many are one text for the tokenizer, with a
+        special token between them."""
+        odd = [i for i, w in enumerate(plain) if SEPARATOR in w]
+        own = {i: np.array(self.tokenizer.encode(plain[i], add_special_tokens=False).ids, dtype=np.uint32) for i in odd}
+        rest = [w for w in plain if SEPARATOR not in w] if odd else plain
+        texts = [SEPARATOR.join(rest[i : i + 512]) + SEPARATOR for i in range(0, len(rest), 512)]
         ids = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         flat = np.concatenate([*ids, np.zeros(0, np.uint32)])
         stops = np.flatnonzero(flat == self.separator)
-        if len(stops) != len(plain):
+        if len(stops) != len(rest):
             raise ValueError("the separator is no special token of the vocabulary")
-        starts = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else stops
-        self._extend(self.units, plain, flat, starts, stops - starts)
-        for w in (w for w in unknown if SEPARATOR in w):
-            own = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype=np.uint32)
-            self._extend(self.units, [w], own, np.zeros(1, np.int64), np.array([len(own)]))
-
-    def _extend(self, index: dict[str, int], names: list[str], ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
-        at = len(self.start)
-        index.update(zip(names, range(at, at + len(names)), strict=True))
-        self.start = np.concatenate([self.start, starts + len(self.pool)])
-        self.length = np.concatenate([self.length, lengths])
-        self.pool = np.concatenate([self.pool, ids])
-
-    def _gather(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of entries one after another, and the number of each."""
-        lengths = self.length[order]
-        after = np.cumsum(lengths)
-        return self.pool[np.repeat(self.start[order] - (after - lengths), lengths) + np.arange(after[-1] if len(after) else 0)], lengths
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        flat, lengths = flat[flat != self.separator], np.diff(stops, prepend=-1) - 1
+        if not odd:
+            return flat, lengths
+        parts = iter(np.split(flat, np.cumsum(lengths)[:-1]) if len(rest) else [])
+        every = [own[i] if i in own else next(parts) for i in range(len(plain))]
+        return np.concatenate(every), np.array([len(x) for x in every], dtype=np.int64)
+
+    def _learn(self, unknown: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new words: each is a stem and the punctuation after it, which the tokenizer splits too, and many
+        stems are words that are known."""
+        halves = [part for w in unknown for part in _halves(w)]
+        coded = pa.array(halves, pa.large_string()).dictionary_encode()
+        known = pc.index_in(coded.dictionary, value_set=self.words)
+        flat, lengths = self._tokenized(coded.dictionary.filter(pc.is_null(known)).to_pylist())
+        pool, starts = np.concatenate([self.pool, flat]), np.cumsum(lengths) - lengths + len(self.pool)
+        at = np.asarray(known.fill_null(0)).astype(np.int64)
+        start, length = self.start[at], self.length[at]
+        new = np.asarray(pc.is_null(known))
+        start[new], length[new] = starts, lengths
+        order = np.asarray(coded.indices)
+        ids = _gather(pool, start[order], length[order])
+        own = length[order]
+        return ids, own[::2] + own[1::2]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id after it, and the number of ids of each."""
-        if len(self.index) > CACHE_WORDS:
-            self.clear()
-        pieces, counts = [], []
-        for t in texts:
-            w = t.replace("\n", " ").split(" ") if t else []
-            pieces.append(w)
-            counts.append(len(w) + 1)
-        unknown = set().union(*pieces) - self.index.keys()
-        if unknown:
-            self.learn(sorted(unknown))
-        order = np.zeros(sum(counts), dtype=np.int64)
+        lists = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()  # each distinct word is looked up once a batch
+        found = pc.index_in(coded.dictionary, value_set=self.words)
+        at = np.asarray(found.fill_null(0)).astype(np.int64)
+        missing = np.asarray(pc.is_null(found))
+        self.hits[at[~missing]] += 1
+        unknown = coded.dictionary.filter(pc.is_null(found))
+        start, length, pool = self.start[at], self.length[at], self.pool
+        if len(unknown):
+            ids, own = self._learn(unknown.to_pylist())
+            starts = np.cumsum(own) - own + len(pool)
+            start[missing], length[missing], pool = starts, own, np.concatenate([pool, ids])
+            short = pc.less_equal(pc.utf8_length(unknown), CACHE_LENGTH)
+            keep = np.asarray(short)
+            self.words = pa.concat_arrays([self.words, unknown.filter(short)])
+            self.start, self.length = np.concatenate([self.start, starts[keep]]), np.concatenate([self.length, own[keep]])
+            self.hits = np.concatenate([self.hits, np.ones(int(keep.sum()), np.int64)])
+            self.pool = pool
+        counts = np.diff(np.asarray(lists.offsets)) + 1
         ends = np.cumsum(counts) - 1
-        words = np.ones(len(order), dtype=bool)
-        words[ends] = False
-        get = self.index.__getitem__
-        order[words] = np.fromiter(map(get, itertools.chain.from_iterable(pieces)), dtype=np.int64, count=len(order) - len(ends))
-        for w in unknown:
-            if len(w) > CACHE_LENGTH:
-                del self.index[w]
-        ids, lengths = self._gather(order)
-        totals = np.cumsum(lengths)[ends]
-        return ids, np.diff(totals, prepend=0)
+        inner = np.ones(int(counts.sum()), dtype=bool)
+        inner[ends] = False
+        order = np.full(len(inner), len(start), dtype=np.int64)  # the end id is one entry more
+        order[inner] = np.asarray(coded.indices)
+        start, length, pool = np.append(start, len(pool)), np.append(length, 1), np.append(pool, np.uint32(self.end))
+        ids, lengths = _gather(pool, start[order], length[order]), length[order]
+        if len(self.words) > CACHE_WORDS:
+            self._forget()
+        return ids, np.diff(np.cumsum(lengths)[ends], prepend=0)
+
+    def _forget(self) -> None:
+        """Keep the half of the words that most batches have had, the empty one among them."""
+        self.hits[0] = np.iinfo(np.int64).max
+        keep = np.sort(np.argsort(-self.hits, kind="stable")[: CACHE_WORDS // 2])
+        self.words = self.words.take(pa.array(keep))
+        self.pool = _gather(self.pool, self.start[keep], self.length[keep])
+        self.length = self.length[keep]
+        self.start, self.hits = np.cumsum(self.length) - self.length, self.hits[keep] // 2
+
+
+def _gather(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The ids of entries one after another."""
+    after = np.cumsum(length)
+    return pool[np.repeat(start - (after - length), length) + np.arange(after[-1] if len(after) else 0)]
+
+
+class PlainEncoder:
+    """Encodes whole texts with the tokenizer's own call: for any tokenizer."""
+
+    def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.end = Tokenizer.from_file(path), end_id
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+        ids = [np.array([*e.ids, self.end], dtype=np.uint32) for e in found]
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(x) for x in ids], dtype=np.int64)
+
+
+# How the tokenizers normalise and split that may be given a text word by word. White space is dropped,
+# case is lowered, and no piece crosses white space or goes from letters to punctuation.
+WORD_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_at_words(path: str) -> bool:
+    """Whether a tokenizer's file says that its pieces are those of its words alone."""
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    pieces = (d.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split = pieces[0].get("type") == "Split" and pieces[0].get("pattern") == {"Regex": WORD_PIECES} and pieces[0].get("behavior") == "Removed" and pieces[0].get("invert") is True
+    inside = all(p.get("type") == "ByteLevel" and not p.get("add_prefix_space") and not p.get("use_regex") for p in pieces[1:])
+    plain = not any(d.get(k) for k in ("truncation", "padding")) and d["model"].get("type") == "BPE" and not d["model"].get("dropout")
+    separator = any(t["content"] == SEPARATOR and t["special"] and not t["lstrip"] and not t["rstrip"] for t in d.get("added_tokens", []))
+    return (d.get("normalizer") or {}).get("normalizers") == WORD_NORMALIZERS and split and inside and plain and separator
 
 
 def _halves(word: str) -> tuple[str, str]:
@@ -132,35 +182,46 @@ def _halves(word: str) -> tuple[str, str]:
     return word, ""
 
 
-def encoder_for(path: str, end_id: int) -> WordEncoder:
-    """One encoder for each worker process: its words stay known from task to task. Functions travel by value, so the
-    process keeps it where every copy of this function finds it."""
-    kept = vars(sys).setdefault("_corpusloom_encoders", {})
-    if (path, end_id) not in kept:
-        kept[path, end_id] = WordEncoder(path, end_id)
-    return kept[path, end_id]
+def encoder_for(path: str, end_id: int) -> WordEncoder | PlainEncoder:
+    """One encoder for each worker process: its words stay known from task to task."""
+    return cached("encoder", (path, end_id), lambda: (WordEncoder if splits_at_words(path) else PlainEncoder)(path, end_id))
+
+
+def vocabulary_size(path: str) -> int:
+    """The ids that a tokenizer can give, its added tokens included."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return max(tokenizer.get_vocab(with_added_tokens=True).values(), default=0) + 1
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def write_ids(documents: DataFrame, tokenizer: str, end_id: int = 2, vocabulary: int = 49_408, text: str = "text", key: str = "doc_id") -> DataFrame:
+def write_ids(documents: DataFrame, tokenizer: str, end_id: int = 2, text: str = "text", key: str = "doc_id", file_bytes: int = FILE_BYTES) -> DataFrame:
     """Encode every whole text, write the files, and return the manifest with each partition's bases.
 
     Columns: ``part``, ``path`` (without suffix), ``n_docs``, ``n_tokens``, ``doc_base``, ``token_base``, ``wide``
     (32-bit ids). Documents go in ascending key order, null keys first; rows with equal keys are ordered by a hash
-    of their text. A null text is encoded as an empty one. An empty table gives an empty manifest.
+    of their text, and equal rows follow each other. A null text is encoded as an empty one, a very long text whole.
+    Further columns of any name are left out. An empty table gives an empty manifest.
+
+    Ids are 32 bits wide if the tokenizer or the end id needs it; an id that would not fit ends the job. There are as
+    many files as shuffles have partitions, or more, so that a file comes from about ``file_bytes`` of input.
     """
     spark = documents.sparkSession
     small_batches(spark)
     folder = scratch_path(spark, "ids")
-    wide = max(vocabulary, end_id + 1) > 1 << 16
+    wide = max(vocabulary_size(tokenizer), end_id + 1) > 1 << 16
+    size = documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1_000_000, -(-int(str(size)) // file_bytes)))
     thin = documents.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     thin = thin.withColumn("tie", F.xxhash64("text"))
-    dealt = thin.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie")
+    dealt = thin.repartitionByRange(parts, "key", "tie").sortWithinPartitions("key", "tie")
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @steady(keeps=("encoder",))
+    def write(batches: Batches) -> Batches:
         encoder = encoder_for(tokenizer, end_id)
         part = TaskContext.get().partitionId()
         name = f"{folder}/{part:06d}-{uuid.uuid4().hex}"
@@ -169,7 +230,9 @@ def write_ids(documents: DataFrame, tokenizer: str, end_id: int = 2, vocabulary:
         keys, nulls, counts = [], [], [np.zeros(1, dtype=np.int64)]
         with files.open_output_stream(path + ".bin") as out:
             for batch in batches:
-                ids, n = encoder.encode(batch.column("text").to_pylist())
+                ids, n = encoder.encode(batch.column("text"))
+                if not wide and len(ids) and int(ids.max()) >= 1 << 16:
+                    raise ValueError(f"id {ids.max()} of a vocabulary of 16 bits")
                 out.write(ids.astype("<u4" if wide else "<u2").tobytes())
                 counts.append(n)
                 k = batch.column("key")
@@ -214,7 +277,7 @@ def read_ids(manifest: DataFrame, block: int = 4096) -> DataFrame:
     as little-endian unsigned 32-bit integers.
     """
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Batches) -> Batches:
         for batch in batches:
             for r in batch.to_pylist():
                 ids = _mapped(r["path"] + ".bin", "<u4" if r["wide"] else "<u2")
@@ -239,6 +302,6 @@ def read_ids(manifest: DataFrame, block: int = 4096) -> DataFrame:
     return manifest.repartition(parts).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_ids(documents: DataFrame, tokenizer: str, end_id: int = 2, vocabulary: int = 49_408) -> DataFrame:
+def token_ids(documents: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     """Write every document's ids, read the files back, one row per document (see ``write_ids``, ``read_ids``)."""
-    return read_ids(write_ids(documents, tokenizer, end_id, vocabulary))
+    return read_ids(write_ids(documents, tokenizer, end_id))

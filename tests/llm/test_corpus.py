@@ -120,6 +120,31 @@ def test_language_codes_every_byte():
     assert np.allclose(langid.score(model, texts, 3)[2], langid.score(model, texts)[2])
 
 
+def test_language_learns_the_most_frequent_labels(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    monkeypatch.setattr(langid, "ALL_DOCS", 20)
+    rows = [(i, ("plain words in a row" if i % 2 else "mots simples en rang été"), ("en", "fr")[1 - i % 2]) for i in range(60)] + [(100 + i, "rare", f"x{i}") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_on(docs)
+    assert model.languages == ("en", "fr")
+    assert {r.lang_pred for r in langid.predict(docs, model, F.col("text"), F.col("doc_id")).collect()} == {"en", "fr"}
+
+
+def test_language_stage_rejects_what_is_foreign(spark, sf):
+    """Texts of an unlearned language, an unlearned script and no language go; learned ones stay, short ones too."""
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    foreign = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. " * 3]
+    foreign += ["Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью. " * 3, "12 34 !!", None]
+    extra = spark.createDataFrame([(10**6 + i, t, None, "x", 0) for i, t in enumerate(foreign)], SCHEMA)
+    kept = P.language(spark, docs.union(extra), sf).select("doc_id", "lang").collect()
+    ids = {r.doc_id for r in kept}
+    assert not ids & set(range(10**6, 10**6 + 4)) and all(r.lang for r in kept)
+    clean = docs.where("length(text) > 0").count()
+    assert len(ids) >= 0.99 * clean
+
+
 def test_language_edges(docs, rows, empty):
     found = {r.doc_id: r for r in langid.identify(docs).collect()}
     assert len(found) == len({r[0] for r in rows})
@@ -172,6 +197,28 @@ def test_mix(docs, rows, empty):
     assert all(r.size == sizes[r.doc_id] for r in got)
 
 
+def test_mix_takes_what_the_programme_says(spark):
+    """Of each source and length the first rows by the seeded hash are taken once more, and their words reach the most
+    that any choice of documents can, below the target."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(["w"] * rng.choice([1, 2, 3, 7, 19])), "abcde"[i % 5] if i % 11 else None) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_sources(docs).withColumn("draw", F.xxhash64(F.lit(20), "row.doc_id", "row.text")).collect()
+    for source in {r.row.source for r in got}:
+        own = [r for r in got if r.row.source == source]
+        whole, budget = divmod(int(round(own[0].target)), own[0].source_size)
+        by = collections.defaultdict(list)
+        for r in own:
+            by[r.size].append((r.draw, r.times - whole))
+        for group in by.values():
+            extra = [t for _, t in sorted(group)]
+            assert extra == sorted(extra, reverse=True) and set(extra) <= {0, 1}
+        sums = {0}
+        for r in own:
+            sums |= {x + r.size for x in sums}
+        assert sum(r.taken for r in own) == whole * own[0].source_size + max(x for x in sums if x <= budget)
+
+
 # ---------------------------------------------------------------- 3 and 9
 
 
@@ -298,8 +345,11 @@ def test_hilbert_curve(spark):
     assert all(abs(a.x - b.x) + abs(a.y - b.y) + abs(a.z - b.z) == 1 for a, b in zip(got, got[1:], strict=False))
 
 
-def test_shards(docs, rows, empty):
-    got = sharding.hilbert_shards(docs.withColumns({"shard": F.lit(1), "cell": F.lit("c")}), 7).collect()
+@pytest.mark.parametrize("bucket_rows", [2, 50_000])
+def test_shards(spark, docs, rows, empty, monkeypatch, bucket_rows):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket_rows)
+    got = sharding.hilbert_shards(docs.withColumns({"shard": F.lit(1), "cell": F.lit("c")}), 7)
+    got = got.withColumns({"ta": F.xxhash64(F.coalesce("row.text", F.lit(""))), "draw": F.xxhash64("row.doc_id", "row.text")}).collect()
     assert len(got) == len(rows)
     by = collections.defaultdict(list)
     for r in got:
@@ -309,9 +359,41 @@ def test_shards(docs, rows, empty):
     counts = [len(v) for v in by.values()]
     assert set(by) == set(range(7)) and max(counts) - min(counts) <= 1
     assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    # along the shards and slots the cells rise, and equal texts follow each other
+    order = sorted(got, key=lambda r: (r.shard, r.slot))
+    assert [r.cell for r in order] == sorted(r.cell for r in got)
+    texts = [r.row.text or "" for r in order]
+    assert sum(a != b for a, b in zip(texts, texts[1:], strict=False)) == len(set(texts)) - 1
+    if bucket_rows > len(rows):
+        assert [(r.cell, r.ta, r.draw) for r in order] == sorted((r.cell, r.ta, r.draw) for r in got)
     assert sharding.hilbert_shards(empty).count() == 0
 
 
+def test_shards_cut_compact_boxes(spark, tmp_path):
+    """Files by shard are what readers can skip: each holds a small part of every dimension."""
+    rng = random.Random(2)
+    rows = [(i, "x" * int(2 ** rng.uniform(0, 12)), rng.choice(["de", "en", "fr", "sv"]), rng.choice("abcd")) for i in range(2000)]
+    sharded = sharding.hilbert_shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 16)
+    sharding.write_shards(sharded, str(tmp_path / "shards"))
+    files = spark.read.parquet(str(tmp_path / "shards"))
+    spans = files.groupBy("shard").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.countDistinct("lang").alias("langs"), F.countDistinct("source").alias("sources")).collect()
+    asked = [(lang, lo) for lang in ("de", "en", "fr", "sv") for lo in range(0, 2000, 250)]
+    read = 0
+    held = {r["shard"]: {x.lang for x in files.where(F.col("shard") == r["shard"]).select("lang").distinct().collect()} for r in spans}
+    for lang, lo in asked:
+        read += sum(lang in held[r["shard"]] and r.a < lo + 250 and r.b >= lo for r in spans)
+    assert read / (len(asked) * 16) < 0.4  # shards by chance would all be read
+    own = [r.slot for r in files.where("shard = 3").select("slot").collect()]
+    assert sorted(own) == list(range(125))
+
+
+def test_shards_of_odd_rows(spark):
+    rows = [(None, None, None, None), (None, "", "x", "y"), (5, "same", "a", "b"), (-5, "same", "c", "d"), (1 << 60, "z" * 200_000, "a", None)] * 3
+    got = sharding.hilbert_shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 4, carry=["doc_id"]).collect()
+    assert len(got) == 15 and {r.row.asDict().keys() == {"doc_id"} for r in got} == {True}
+    assert sorted(collections.Counter(r.shard for r in got).values()) == [3, 4, 4, 4]
+
+
 # ---------------------------------------------------------------- 5
 
 
@@ -481,6 +563,42 @@ def test_large_buckets_are_settled_whole(spark, monkeypatch):
     assert {r.row.doc_id: r.class_id for r in got.collect()} == {i: i - i % 2 for i in range(40)}
 
 
+def test_recall_of_near_copies(spark):
+    """Every row whose id is divisible by 20 against all rows, on a table with large groups of near copies: pairs of a
+    similarity of 0.8 or more are in one class."""
+    rng = random.Random(21)
+    rows, n = [], 0
+    for size in (300, 120, 40, *[3] * 40, *[1] * 100):
+        base = [f"w{rng.randint(0, 3000)}" for _ in range(rng.randint(60, 200))]
+        for _ in range(size):
+            words = base.copy()
+            for _ in range(rng.randint(0, 4)):
+                words[rng.randrange(len(words))] = f"e{rng.randint(0, 10**6)}"
+            rows.append((n, " ".join(words)))
+            n += 1
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = {r.row.doc_id: r.class_id for r in minhash.classes(docs).collect()}
+    weights = minhash.word_weights(docs)
+    sets = {i: minhash.weighted_set(t, weights) for i, t in rows}
+    pairs = [(i, j) for i in sets if i % 20 == 0 for j in sets if i != j and minhash.similarity(sets[i], sets[j]) >= 0.8]
+    assert len(pairs) > 1000 and np.mean([ids[i] == ids[j] for i, j in pairs]) >= 0.999
+
+
+def test_sampling_has_no_bias_in_long_texts():
+    """Draws come from pools, yet 20,000 shingles estimate as well as few do."""
+    rng = np.random.default_rng(4)
+    errors = []
+    for share in (0.3, 0.5, 0.8, 0.95):
+        keys = np.unique(rng.integers(1, 1 << 62, 20_000).astype(np.uint64))
+        weights = rng.random(len(keys)) + 0.5
+        own = rng.random(len(keys)) < share
+        a, b = (keys, weights), (keys[own], weights[own])
+        x = minhash.Sampler(600, seed=int(share * 100)).samples([a, b])
+        errors.append((x[0] == x[1]).mean() - minhash.similarity(a, b))
+    assert abs(np.mean(errors)) < 0.02 and max(map(abs, errors)) < 0.06
+
+
 def test_sampling_estimates_similarity():
     rng = np.random.default_rng(0)
     keys = rng.integers(1, 1 << 62, 300).astype(np.uint64)
@@ -595,6 +713,58 @@ def test_sketches(spark, docs):
     assert (r[0], r[1], r[2]) == (0.4, pytest.approx(2 / 3), [1, 2, 3, 4, 5])
 
 
+# ---------------------------------------------------------------- odd tables
+
+CLASHES = "tid row size label bucket h sid k part tie key lines hash gone salt draw lang_pred score bits n_words spans items copies cell shard slot class_id text2 __text".split()
+OPERATORS = {
+    "1": lambda d, b: langid.identify(d),
+    "2": lambda d, b: mixing.mix_sources(d),
+    "3": lambda d, b: substring.remove_repeats(d),
+    "4": lambda d, b: sharding.hilbert_shards(d),
+    "5": lambda d, b: tokens.token_ids(d, tokenizer_path()),
+    "6": lambda d, b: decontam.find_leaks(d, b, F.col("text"), [F.col("doc_id")]),
+    "7": lambda d, b: minhash.classes(d),
+    "8": lambda d, b: lines.drop_frequent_lines(d),
+    "9": lambda d, b: bwt.remove_repeats(d),
+    "10": lambda d, b: sketch.with_next(d),
+}
+
+
+def odd_rows(spark):
+    """Nulls in every column, empty and very long texts, many equal rows, and columns of the operators' own names."""
+    rng = random.Random(12)
+    long = " ".join(f"w{rng.randint(0, 5000)}" for _ in range(40_000))
+    rows = [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, long, "en", None, 9), (3, long + " more", None, "b", 9), (None, "12 %%", "fr", "b", 1)]
+    rows += [(4, "The very same row of a few words, a third of all.", "en", "a", 5)] * 40
+    rows += [(100 + i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(50)), rng.choice(["en", "fr"]), "c", 5) for i in range(30)]
+    return spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(1) for c in CLASHES})
+
+
+@pytest.mark.parametrize("name", list(OPERATORS))
+def test_odd_tables(spark, name):
+    docs = odd_rows(spark)
+    bench = spark.createDataFrame([(1, "the very same row of a few words a third of all", 0), (None, None, 0)], "item_id long, text string, items int")
+    got = OPERATORS[name](docs, bench).collect()
+    assert len(got) == docs.count() == 76
+    assert OPERATORS[name](docs.limit(0), bench.limit(0)).count() == 0
+    ids = collections.Counter(r.row.doc_id if "row" in r.__fields__ else r.doc_id for r in got)
+    assert ids[4] == 40 and ids[None] == 2 and ids[1] == 2
+
+
+def test_pipeline_of_odd_and_empty_tables(spark, sf):
+    import corpus_pipeline as P
+
+    docs = odd_rows(spark)
+    for state in (docs, docs.limit(0), docs.withColumn("lang", F.lit(None).cast("string"))):
+        n = state.count()
+        for name, stage in P.STAGES[:-1]:
+            cols = state.columns
+            state = P.written(stage(spark, state, sf), name)
+            assert state.columns == cols
+        assert P.STAGES[-1][1](spark, state, sf).count() == state.count()
+        assert bool(n) or not state.count()
+
+
 # ---------------------------------------------------------------- pipeline
 
 
