@@ -197,7 +197,7 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDE
                     n = np.bincount(at, weights=np.concatenate([m, n])).astype(np.int64)
                 totals[lang] = keys, n
         for lang, (keys, n) in totals.items():
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(keys), "gram": keys.view(np.int64), "n": n})
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
 
     grams = sample.coalesce(8).mapInArrow(gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     found = grams.toArrow()

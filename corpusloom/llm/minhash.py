@@ -37,7 +37,7 @@ RARE, MOST_WORDS = 4096, 2_000_000
 #: A bucket of up to ``FEW`` texts is settled by pairs; one of up to ``SMALL`` texts with up to ``TERMS`` shingles in
 #: one task, after its centre has been met; a larger one in tasks of two blocks, together as large, once a centre has
 #: left more than ``KEPT`` of it.
-SMALL, TERMS, FEW, KEPT = 4096, 2_000_000, 16, 0.75
+SMALL, TERMS, FEW, KEPT = 4096, 1_000_000, 16, 0.75
 #: Of all samples, the share that a pair's must agree in to be verified: at a similarity of 0.8 and 36 samples,
 #: fewer than half agree with a probability below 0.0001. A text and its bucket's centre are verified from a quarter on:
 #: at a similarity of 0.6, below which the centre says nothing more, fewer agree with a probability below 0.0001.

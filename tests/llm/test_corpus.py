@@ -372,7 +372,7 @@ def test_shards(spark, docs, rows, empty, monkeypatch, bucket_rows):
 def test_shards_cut_compact_boxes(spark, tmp_path):
     """Files by shard are what readers can skip: each holds a small part of every dimension."""
     rng = random.Random(2)
-    rows = [(i, "x" * int(2 ** rng.uniform(0, 12)), rng.choice(["de", "en", "fr", "sv"]), rng.choice("abcd")) for i in range(2000)]
+    rows = [(i, f"{i} " + "x" * int(2 ** rng.uniform(0, 12)), rng.choice(["de", "en", "fr", "sv"]), rng.choice("abcd")) for i in range(2000)]
     sharded = sharding.hilbert_shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 16)
     sharding.write_shards(sharded, str(tmp_path / "shards"))
     files = spark.read.parquet(str(tmp_path / "shards"))
