@@ -21,7 +21,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 #: Rows and bytes of an Arrow batch; a row that is larger makes a batch of its own.
-BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

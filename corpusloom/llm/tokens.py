@@ -33,7 +33,7 @@ from corpusloom.session import scratch_path, written
 #: Bytes of input for a file.
 FILE_BYTES = 128 << 20
 #: Distinct words whose ids a worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: A special token of the vocabulary, put between words that are encoded together.
 SEPARATOR = "<|endoftext|>"
 #: Longer words are encoded each time.
