@@ -169,10 +169,29 @@ FROM d LEFT JOIN cov USING (rid) LEFT JOIN it USING (rid)
 """
 
 
+BYTES_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (SELECT rid, x, unnest(range(0, length(x) // 2 - 199)) AS i FROM d WHERE length(x) >= 400),
+h AS (SELECT rid, i, md5(substr(x, 2 * i + 1, 400)) AS k FROM s),
+r AS (SELECT k FROM h GROUP BY k HAVING count(*) > 1),
+w AS (SELECT rid, i FROM h SEMI JOIN r USING (k)),
+e AS (SELECT rid, i, coalesce(i > lag(i) OVER (PARTITION BY rid ORDER BY i) + 200, true) AS fresh FROM w),
+n AS (SELECT rid, i, sum(fresh::INT) OVER (PARTITION BY rid ORDER BY i) AS span FROM e),
+p AS (SELECT rid, span, min(i) AS a, max(i) + 200 AS b FROM n GROUP BY rid, span),
+q AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM p),
+g AS (SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+      FROM q JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head || substr(x, 2 * last + 1), x))) AS kept_sha256
+FROM d LEFT JOIN g USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express on whole tables."""
     return {
         "op3_substring_dedup": SUBSTRING_SQL,
         "op6_benchmark_decontamination": LEAKS_SQL,
         "op8_line_dedup": LINES_SQL,
+        "op9_suffix_dedup": BYTES_SQL,
     }

@@ -792,7 +792,7 @@ def test_pipeline_stages(spark, sf):
 # ---------------------------------------------------------------- SQL
 
 
-@pytest.mark.parametrize("name", ["op3_substring_dedup", "op6_benchmark_decontamination", "op8_line_dedup"])
+@pytest.mark.parametrize("name", ["op3_substring_dedup", "op6_benchmark_decontamination", "op8_line_dedup", "op9_suffix_dedup"])
 def test_queries_equal_sql(spark, sf, name):
     import duckdb
 
