@@ -62,7 +62,10 @@ HEADER_PATTERNS = [
 
 @dataclass(frozen=True)
 class Organisation:
-    """Whose notices are removed: a regular expression for its name, and its tagline."""
+    """Whose notices are removed: a regular expression for its name, and its tagline.
+
+    The defaults are invented. Notices of a real organisation go only if the caller names it here.
+    """
 
     name: str = r"Example Homes Inc\."
     short: str = "Example Homes"
