@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from corpusloom import config
 from corpusloom.functions import describe as D
-from corpusloom.functions.cleaning import U, split_words, strip
+from corpusloom.functions.cleaning import U, let, split_words, strip
 
 SENTENCE, PARAGRAPH, SECTION, TABLE = 1, 3, 10, 8
 _TOKEN = re.compile(r"\w+|[^\w\s]")
@@ -209,7 +209,8 @@ def is_empty(text: Column) -> Column:
 
 def synthetic_chunks(documents: DataFrame, key: str, text: str, ctx: Column, size: Column) -> DataFrame:
     """The one chunk of each document that ``is_empty``: a description of it from its path, name and size."""
-    rows = documents.where(is_empty(F.col(text))).select(key, D.searchable_text(ctx).alias("chunk_text"), D.metadata(ctx, size).alias("described"), ctx["file_name"].alias("__name"))
+    found = let(ctx, lambda c: F.struct(D.searchable_text(c).alias("chunk_text"), D.metadata(c, size).alias("described"), c["file_name"].alias("__name")))
+    rows = documents.where(is_empty(F.col(text))).select(key, found.alias("__d")).select(key, "__d.*")
     n = F.char_length("chunk_text")
     return rows.select(
         key, F.lit(0).alias("chunk_index"), "chunk_text", F.lit(0).alias("char_start"), n.alias("char_end"), F.lit(0.0).alias("position"),

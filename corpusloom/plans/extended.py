@@ -143,7 +143,10 @@ _CONFIDENCE = """round(least(1.0, 0.5 + 0.1 + (section IS NOT NULL)::INT * 0.1 +
  + CASE WHEN n_chars * 100 > 10000 AND n_chars * 100 < 500000 THEN 0.1 WHEN n_chars * 100 > 500000 THEN 0.05 ELSE 0 END)::DOUBLE, 6)"""
 
 
-@_query(f"WITH {Q._FORMS} SELECT doc_id, form AS document_type, {_CONFIDENCE} AS confidence, {_SEARCHABLE} AS chunk_text FROM z WHERE doc_id % 9 = 0")
+_EMPTY = f"em AS (SELECT doc_id FROM documents WHERE doc_id % 9 = 0 OR length({Q._STRIP.format(Q.RAW)}) < 10)"
+
+
+@_query(f"WITH {Q._FORMS}, {_EMPTY} SELECT doc_id, form AS document_type, {_CONFIDENCE} AS confidence, {_SEARCHABLE} AS chunk_text FROM z SEMI JOIN em USING (doc_id)")
 def synthetic_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The chunks of documents without content."""
     d = _documents(spark, sf)
@@ -151,9 +154,9 @@ def synthetic_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "described.document_type", F.round("described.confidence_score", 6).alias("confidence"), "chunk_text")
 
 
-_CHUNKED = f"""{Q._cut_sql(Q._LOSSLESS)}, {Q._FORMS},
-every AS (SELECT doc_id, chunk_index, chunk_text, char_start, char_end, chunk_text AS md, kind AS document_type, false AS synthetic FROM k JOIN z USING (doc_id) WHERE doc_id % 9 <> 0
- UNION ALL SELECT doc_id, 0, t, 0, length(t), '# ' || file_name || chr(10) || chr(10) || t, form, true FROM (SELECT *, {_SEARCHABLE} AS t FROM z WHERE doc_id % 9 = 0))""".replace("every AS (SELECT doc_id, p, n, e", "all_cuts AS (SELECT doc_id, p, n, e").replace("FROM every JOIN t", "FROM all_cuts JOIN t")
+_CHUNKED = f"""{Q._cut_sql(Q._LOSSLESS)}, {Q._FORMS}, {_EMPTY},
+every AS (SELECT doc_id, chunk_index, chunk_text, char_start, char_end, chunk_text AS md, kind AS document_type, false AS synthetic FROM k JOIN z USING (doc_id) ANTI JOIN em USING (doc_id)
+ UNION ALL SELECT doc_id, 0, t, 0, length(t), '# ' || file_name || chr(10) || chr(10) || t, form, true FROM (SELECT *, {_SEARCHABLE} AS t FROM z SEMI JOIN em USING (doc_id)))""".replace("every AS (SELECT doc_id, p, n, e", "all_cuts AS (SELECT doc_id, p, n, e").replace("FROM every JOIN t", "FROM all_cuts JOIN t")
 
 
 @_query(f"""WITH RECURSIVE {_CHUNKED} SELECT doc_id, chunk_index, sha256(chunk_text) AS digest, CAST(char_start AS INTEGER) AS char_start, CAST(char_end AS INTEGER) AS char_end, CAST({Q._TOKENS.format("chunk_text")} AS INTEGER) AS token_count,
@@ -287,7 +290,8 @@ def cascade_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return counts[0].join(counts[1]).join(counts[2])
 
 
-@_query("SELECT CASE WHEN doc_id % 10 = 3 THEN 'error' ELSE 'synced' END AS sync_status, CAST(CASE WHEN doc_id % 10 = 3 THEN 3 ELSE 0 END AS BIGINT) AS sync_error_count, CAST(count(*) AS BIGINT) AS files, CAST(count(*) FILTER (doc_id % 9 = 0 AND doc_id % 10 <> 3) AS BIGINT) AS described FROM documents GROUP BY 1, 2")
+@_query(f"""WITH {Q._CLEANED} SELECT CASE WHEN doc_id % 10 = 3 THEN 'error' ELSE 'synced' END AS sync_status, CAST(CASE WHEN doc_id % 10 = 3 THEN 3 ELSE 0 END AS BIGINT) AS sync_error_count, CAST(count(*) AS BIGINT) AS files,
+ CAST(count(*) FILTER ((doc_id % 9 = 0 OR length(cleaned) < 10) AND doc_id % 10 <> 3) AS BIGINT) AS described FROM c GROUP BY 1, 2""")
 def run_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Runs until nothing is pending: files that fail are tried three times, files without content get a description."""
     d = Q._docs(spark, sf).where("doc_id IS NOT NULL")
