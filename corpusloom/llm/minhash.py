@@ -398,9 +398,9 @@ def near_duplicates(
     state = placed.select("tid", "bucket").join(signed.select("tid", "samples", "terms"), "tid")
     state = scratch.bucketed(state.withColumn("before", F.lit(None).cast("long")), "buckets", "tid")
     scratch.drop(placed, signed)
-    # by a merge join at any size: the ids of linked texts grow with the corpus
-    mine = docs.join(labels.select("tid").hint("merge"), "tid", "left_semi")
-    texts = scratch.bucketed(mine.groupBy("tid").agg(F.first("text").alias("text")), "texts", "tid")
+    # copies are one row before texts are dealt out; by a merge join at any size, as the ids of linked texts grow with the corpus
+    texts = docs.groupBy("tid").agg(F.first("text").alias("text")).join(labels.select("tid").hint("merge"), "tid")
+    texts = scratch.bucketed(texts, "texts", "tid")
     release(spark)
     least, low = math.ceil(AGREE * bands * rows), math.ceil(FAR * bands * rows)
     links = None
