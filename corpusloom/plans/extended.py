@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+from xml.sax.saxutils import escape
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -341,6 +347,42 @@ def report_sink(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("sync_status string, n long").json(path)
 
 
+# ---------------------------------------------------------------- files
+
+_W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
+
+
+def _word_file(name: str, key: int) -> bytes:
+    """A small Word file: a heading, a line with a bold word, a table."""
+    run = lambda t, style="": f'<w:r>{style}<w:t xml:space="preserve">{escape(t)}</w:t></w:r>'
+    row = lambda *cells: "<w:tr>" + "".join(f"<w:tc><w:p>{run(c)}</w:p></w:tc>" for c in cells) + "</w:tr>"
+    head = f'<w:p><w:pPr><w:pStyle w:val="Heading2"/></w:pPr>{run(name)}</w:p>'
+    body = f"{head}<w:p>{run('Key', '<w:rPr><w:b/></w:rPr>')}{run(f' {key}')}</w:p><w:tbl>{row('a', name)}{row('b', str(key))}</w:tbl>"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("word/document.xml", f'<w:document xmlns:w="{_W}"><w:body>{body}</w:body></w:document>')
+    return out.getvalue()
+
+
+@_query("""WITH n AS (SELECT n_name AS m, CAST(n_nationkey AS VARCHAR) AS k, n_nationkey, greatest(length(n_name), length(CAST(n_nationkey AS VARCHAR))) AS w FROM nation)
+SELECT 'd' || k || CASE WHEN n_nationkey % 5 = 4 THEN '.odt' ELSE '.docx' END AS file_path, CASE WHEN n_nationkey % 5 < 3 THEN '## ' || m || chr(10) || chr(10) || '**Key** ' || k || chr(10) || '| a | ' || rpad(m, CAST(w AS INTEGER), ' ') || ' |' || chr(10)
+ || '| - | ' || repeat('-', w) || ' |' || chr(10) || '| b | ' || rpad(k, CAST(w AS INTEGER), ' ') || ' |' || chr(10) || chr(10) END AS markdown, CASE WHEN n_nationkey % 5 < 3 THEN 'Key ' || k END AS raw_text,
+ CAST(CASE WHEN n_nationkey % 5 < 3 THEN 2 ELSE 0 END AS INTEGER) AS word_count, n_nationkey % 5 < 3 AS parsing_success, n_nationkey % 5 = 4 AS unsupported FROM n""")
+def parse_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Word files made from a table and parsed: some are broken, some of a kind that no parser is for."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = list(zip(b.column("n_nationkey").to_pylist(), b.column("n_name").to_pylist(), strict=True))
+            paths = [f"d{k}" + (".odt" if k % 5 == 4 else ".docx") for k, _ in rows]
+            contents = [b"broken" if k % 5 == 3 else _word_file(n, k) for k, n in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], names=["file_path", "content"])
+
+    files = table(spark, sf, "nation").select("n_nationkey", "n_name").mapInArrow(make, "file_path string, content binary")
+    parsed = P.parse_documents(files)
+    return parsed.select("file_path", "markdown", "raw_text", "word_count", "parsing_success", F.coalesce(F.startswith("error", F.lit("Unsupported")), F.lit(False)).alias("unsupported"))
+
+
 # ---------------------------------------------------------------- evaluation
 
 

@@ -720,10 +720,14 @@ def provider_registry(spark: SparkSession, sf: str) -> DataFrame:
     return M.registry(spark)
 
 
-@_query(f"""WITH w AS (SELECT len({_WORDS.format("text")}) AS n FROM documents) SELECT CAST(count(*) AS BIGINT) AS embeddings, CAST(sum(floor(n * 0.75)) AS BIGINT) AS tokens, round(sum(floor(n * 0.75)) / 1000 * 0.0001, 6)::DOUBLE AS cost,
- CAST(ceil(count(*) / 96) AS BIGINT) AS batches, round(count(*) FILTER (n > 0) / count(*), 6) AS success_rate FROM w""")
+_SOME_BLANK = "CASE WHEN doc_id % 211 = 0 THEN ' ' ELSE text END"
+
+
+@_query(f"""WITH w AS (SELECT len({_WORDS.format(_SOME_BLANK)}) AS n, (row_number() OVER (ORDER BY doc_id) - 1) // 96 AS b FROM documents), k AS (SELECT b, count(*) AS c, sum(floor(n * 0.75)) AS t, min((n > 0)::INT) AS ok FROM w GROUP BY b)
+SELECT CAST(sum(c) AS BIGINT) AS embeddings, CAST(sum(t) AS BIGINT) AS tokens, round(sum(t) / 1000 * 0.0001, 6)::DOUBLE AS cost, CAST(count(*) AS BIGINT) AS batches, round(sum(ok) / count(*), 6) AS success_rate FROM k""")
 def embedding_batches(spark: SparkSession, sf: str) -> DataFrame:
-    b = M.batches(_docs(spark, sf), "doc_id", "text", 96, 0.0001)
+    """Totals of embedding; a batch with a text without words fails."""
+    b = M.batches(_docs(spark, sf).select("doc_id", F.expr(_SOME_BLANK).alias("text")), "doc_id", "text", 96, 0.0001)
     return b.select("embeddings", "tokens", F.round("cost", 6).alias("cost"), "batches", F.round("success_rate", 6).alias("success_rate"))
 
 
