@@ -231,9 +231,9 @@ def likely_pairs(few: DataFrame, least: int) -> DataFrame:
     return dealt.mapInArrow(meet, "x binary, y binary")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """The pairs (``x``, ``y``) with their exact weighted Jaccard similarity; ``texts`` lie in buckets of ``tid``."""
-    centres = pairs.groupBy("y").agg(F.count("*").alias("n")).withColumn("salts", F.ceil(F.col("n") / SALT_ROWS).cast("int"))
+def verified(pairs: DataFrame, texts: DataFrame, idf, centres: DataFrame) -> DataFrame:
+    """The pairs (``x``, ``y``) with their exact weighted Jaccard similarity; ``texts`` lie in buckets of ``tid``, and
+    ``centres`` is a table of each ``y`` and its number of ``salts``, so that Spark can split the pairs of one centre."""
     members = pairs.join(centres, "y").select("y", F.pmod(F.xxhash64("x"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), F.col("x").alias("tid"))
     heads = centres.select("y", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("y").alias("tid"))
     rows = texts.join(members.unionByName(heads).hint("shuffle_hash"), "tid").select("y", "salt", "kind", "tid", "text")
@@ -421,10 +421,11 @@ def near_duplicates(
         star = opened.where((F.col("label") != F.col("ylabel")) & (F.col("how") == "centre") & (agreement(F.col("samples"), F.col("ysamples")) >= low))
         pairs = star.select(F.col("tid").alias("x"), "y").union(likely_pairs(opened.where("how = 'pairs'"), least))
         pairs = scratch.table(pairs.distinct(), "pairs")
+        centres = scratch.table(pairs.groupBy("y").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts")), "centres")
         whole = opened.where("how = 'task'").select("bucket", "tid", "label")
         in_tasks = settled(whole.unionByName(by_blocks(opened.where("how = 'blocks'"))), texts, idf, threshold)
-        found = scratch.table(verified(pairs, texts, idf).unionByName(in_tasks), "similarities")
-        scratch.drop(opened, pairs)
+        found = scratch.table(verified(pairs, texts, idf, centres).unionByName(in_tasks), "similarities")
+        scratch.drop(opened, pairs, centres)
         new = found.where(F.col("similarity") >= threshold)
         links = new if links is None else links.union(new)
         if new.limit(1).count():
