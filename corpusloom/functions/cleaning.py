@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import config
+from corpusloom.functions.phrases import phrase_counts, phrase_histogram  # noqa: F401
 
 #: Unicode classes and \n as the only line end.
 U = "(?Ud)"
@@ -205,12 +206,6 @@ def ngrams(text: Column, low: int = 2, high: int = 5, shortest: int = 10, longes
     return let(split_words(text), of)
 
 
-def phrase_counts(phrases: DataFrame, text: Column, key: str) -> DataFrame:
-    """``phrase``, ``occurrences`` and ``documents`` (distinct ``key``s) of all runs of words."""
-    each = phrases.select(F.col(key).alias("k"), F.explode(ngrams(text)).alias("phrase")).groupBy("k", "phrase").agg(F.count("*").alias("n"))
-    return each.groupBy("phrase").agg(F.sum("n").alias("occurrences"), F.count("*").alias("documents"))
-
-
 def frequent_noise(counts: DataFrame, documents: int, share: float = config.NOISE_THRESHOLD, by: str = "occurrences") -> DataFrame:
     """Phrases that occur at least ``share`` times as often as there are documents (rounded down), the most common first.
     A share of 0 is the default share; ``by`` counts occurrences or documents."""
