@@ -235,8 +235,8 @@ def phrases_by_count(spark: SparkSession, sf: str) -> DataFrame:
 @_query(f"SELECT * FROM ({Q._ngram_sql('')}) WHERE occurrences >= floor((SELECT count(*) FROM documents) * 0.5)")
 def frequent_noise_occurrences(spark: SparkSession, sf: str) -> DataFrame:
     """Phrases that occur at least half as often as there are documents."""
-    d = Q._docs(spark, sf)
-    return C.frequent_noise(C.phrase_counts(d, F.col("text"), "doc_id"), d.count(), 0.5)
+    n = Q._docs(spark, sf).count()
+    return C.frequent_noise(C.phrase_counts(Q._numbered(spark, sf), F.col("text"), "doc_id", least=n // 2), n, 0.5)
 
 
 _REPEATED = f"""{Q._sql_headers(Q.RAW)}, rp AS (SELECT DISTINCT doc_id, s, k FROM ct WHERE s <> '' AND k > 3)"""
