@@ -229,7 +229,7 @@ def split_by_tokens(spark: SparkSession, sf: str) -> DataFrame:
 @_query(Q._ngram_sql("").replace("SELECT", "SELECT", 1) + " ORDER BY occurrences DESC, phrase LIMIT 200")
 def phrases_by_count(spark: SparkSession, sf: str) -> DataFrame:
     """The 200 most common phrases, the first ones first."""
-    return C.phrase_counts(Q._docs(spark, sf), F.col("text"), "doc_id").orderBy(F.desc("occurrences"), "phrase").limit(200)
+    return C.phrase_counts(Q._numbered(spark, sf), F.col("text"), "doc_id", top=200)
 
 
 @_query(f"SELECT * FROM ({Q._ngram_sql('')}) WHERE occurrences >= floor((SELECT count(*) FROM documents) * 0.5)")
