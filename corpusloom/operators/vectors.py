@@ -12,6 +12,17 @@ from pyspark.sql.window import Window
 
 #: Numbers in the query block that workers hold (eight bytes each); larger query sets go in blocks of this size.
 BLOCK_NUMBERS = 4_000_000
+#: Rows and queries that are scored at once: a worker holds so many scores squared, however many queries a block has.
+TILE = 1024
+#: By how much a score from a product of matrices may differ from the sum in order.
+MARGIN = 1e-9
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix."""
+    if column.null_count or not len(column):
+        return np.array(column.to_pylist(), dtype=np.float64)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def _sum(a: Column) -> Column:
@@ -92,8 +103,10 @@ def batch_search(vectors: DataFrame, queries: DataFrame, limit: int = 20, vector
     """``query_id``, ``key``, ``score``, ``rank``: the best rows by cosine for each query; ties by key.
 
     Queries go to the workers in blocks of ``BLOCK_NUMBERS`` numbers, which the driver reads one after the other. A task
-    scores each batch of its rows against a block and keeps the best of each, so what is shuffled is ``limit`` rows by
-    query and batch, and neither side is held whole anywhere.
+    scores its rows against a block by tiles of ``TILE`` rows and as many queries, and keeps the best of each query. So what a worker
+    holds is the block, a tile and ``limit`` rows by query, what is shuffled is ``limit`` rows by query and task, and
+    neither side is held whole anywhere. Scores near the best are computed again, number by number, so that equal vectors have
+    equal scores wherever they stand.
     """
     id_kind = queries.schema[query_key].dataType.simpleString()
     kind = vectors.schema[key].dataType.simpleString()
@@ -102,7 +115,7 @@ def batch_search(vectors: DataFrame, queries: DataFrame, limit: int = 20, vector
     def blocks() -> Iterator[list]:
         block, size = [], 0
         for r in queries.select(query_key, vector).toLocalIterator():
-            block.append(r)
+            block.append((r[0], np.array(r[1], dtype=np.float64)))
             size += len(r[1])
             if size >= BLOCK_NUMBERS:
                 yield block
@@ -114,27 +127,57 @@ def batch_search(vectors: DataFrame, queries: DataFrame, limit: int = 20, vector
             nothing = vectors.select(F.lit(None).cast(id_kind).alias(query_key), key, F.lit(0.0).alias("score")).where(F.lit(False))
             out = nothing if out is None else out
             break
-        names, matrix = [r[0] for r in block], np.array([r[1] for r in block], dtype=np.float64).reshape(len(block), -1)
-        norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-        shared = vectors.sparkSession.sparkContext.broadcast((names, np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)))
+        shared = vectors.sparkSession.sparkContext.broadcast(([r[0] for r in block], np.stack([r[1] for r in block])))
+
+        def score(batches: Iterator[pa.RecordBatch], shared=shared, tile=TILE) -> Iterator[pa.RecordBatch]:
+            ids, wanted = shared.value
+            lengths = np.sqrt((wanted * wanted).sum(axis=1))
+            floor = np.full(len(ids), -np.inf)  # what a row must reach to be among the best of a query
+            held, size = [], 0
+
+            def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                dots, aa, bb = np.zeros(len(a)), np.zeros(len(a)), np.zeros(len(a))
+                for d in range(a.shape[1]):
+                    x, y = a[:, d], b[:, d]
+                    dots, aa, bb = dots + x * y, aa + x * x, bb + y * y
+                both = np.sqrt(aa * bb)
+                return np.divide(dots, both, out=np.zeros_like(dots), where=both > 0)
+
+            def best() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                q, s, keys = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.lexsort((np.unique(keys, return_inverse=True)[1], -s, q))
+                q, s, keys = q[order], s[order], keys[order]
+                at = np.arange(len(q)) - np.searchsorted(q, q)
+                last = at == limit - 1
+                floor[q[last]] = s[last]
+                stay = at < limit
+                return q[stay], s[stay], keys[stay]
 
-        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, unit = shared.value
             for b in batches:
-                if not b.num_rows or not len(ids):
-                    continue
-                x = np.array(b.column(1).to_pylist(), dtype=np.float64)
-                length = np.linalg.norm(x, axis=1, keepdims=True)
-                s = unit @ np.divide(x, length, out=np.zeros_like(x), where=length > 0).T
-                keys = np.asarray(b.column(0))
-                k = min(limit, s.shape[1])
-                # rows in key order, so a stable sort breaks ties by key
-                by_key = np.argsort(keys, kind="stable")
-                best = by_key[np.argsort(-s[:, by_key], axis=1, kind="stable")[:, :k]]
-                flat = best.reshape(-1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i in ids for _ in range(k)]), b.column(0).take(pa.array(flat)), pa.array(np.take_along_axis(s, best, axis=1).reshape(-1))], names=[query_key, key, "score"]
-                )
+                rows, names = matrix(b.column(1)), np.asarray(b.column(0))
+                for r in range(0, b.num_rows, tile):
+                    x, own = rows[r : r + tile], names[r : r + tile]
+                    far = np.sqrt((x * x).sum(axis=1))
+                    unit = np.divide(x, far[:, None], out=np.zeros_like(x), where=far[:, None] > 0)
+                    for c in range(0, len(ids), tile):
+                        n = lengths[c : c + tile, None]
+                        s = np.divide(wanted[c : c + tile], n, out=np.zeros_like(wanted[c : c + tile]), where=n > 0) @ unit.T
+                        least = floor[c : c + tile]
+                        if s.shape[1] >= limit and np.isinf(least).any():
+                            least = np.maximum(least, np.partition(s, s.shape[1] - limit, axis=1)[:, s.shape[1] - limit])
+                        i, k = np.nonzero(s >= least[:, None] - MARGIN)
+                        for a in range(0, len(i), 16 * tile):
+                            i_, k_ = i[a : a + 16 * tile], k[a : a + 16 * tile]
+                            held.append((i_ + c, exact(wanted[i_ + c], x[k_]), own[k_]))
+                        size += len(i)
+                        if size > 2 * limit * len(ids) + 200_000:
+                            held = [best()]
+                            size = len(held[0][0])
+            if held:
+                q, s, keys = best()
+                for a in range(0, len(q), 50_000):
+                    names = [ids[i] for i in q[a : a + 50_000].tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(keys[a : a + 50_000]), pa.array(s[a : a + 50_000])], names=[query_key, key, "score"])
 
         part = vectors.select(key, vector).mapInArrow(score, f"{query_key} {id_kind}, {key} {kind}, score double")
         out = part if out is None else out.union(part)

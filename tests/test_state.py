@@ -317,3 +317,22 @@ def test_paths_outside_the_root(spark):
     assert rows.select(X.relative_path(F.col("p"), "/r")).first()[0] == "/x/a.pdf"
     with pytest.raises(Exception, match="not below"):
         rows.select(X.relative_path(F.col("p"), "/r", strict=True)).collect()
+
+
+def test_scores_in_tiles(spark, monkeypatch):
+    """However the queries and rows are cut, a worker holds a tile of scores, and equal vectors tie by key."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 5)).repeat(3, axis=0)
+    x[::50] = 0
+    frame = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in zip(rng.permutation(180), x)], "vec_id long, embedding array<double>")
+    q = frame.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    want = []
+    vectors = {r.vec_id: np.array(r.embedding) for r in frame.collect()}
+    for k in sorted(v for v in vectors if v % 20 == 0):
+        def score(a, b):
+            n = float(np.linalg.norm(a) * np.linalg.norm(b))
+            return round(float(a @ b) / n, 12) if n else 0.0
+        want += [(k, i + 1, v) for i, v in enumerate(sorted(vectors, key=lambda v: (-score(vectors[k], vectors[v]), v))[:7])]
+    for tile in (1024, 4):
+        monkeypatch.setattr(W, "TILE", tile)
+        assert sorted((r.query_id, r["rank"], r.vec_id) for r in W.batch_search(frame, q, 7).collect()) == want
