@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusloom.operators import vectors as W
 from corpusloom.operators.vectors import dot, euclidean
 
-#: Rows of a block of vectors that one task holds when distances are summed.
-BLOCK_ROWS = 2048
+#: Rows of a block of vectors, and rows that a task measures at once against eight times as many of a round.
+BLOCK_ROWS, TILE = 2048, 256
 #: Blocks up to which all distances are measured: their pairs are the square of this, and each row is copied as often.
 MOST_BLOCKS = 512
 #: Groups up to which their sums are broadcast.
@@ -73,38 +75,59 @@ def inter_cluster(vectors: DataFrame, vector: str = "embedding", label: str = "l
 def silhouette(vectors: DataFrame, vector: str = "embedding", label: str = "label", key: str = "vec_id", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Mean silhouette with Euclidean distances; members of groups of one score 0, fewer than two groups give 0.
 
-    Distances are between all rows by definition, so the work is the square of the rows; blocks of rows meet block by
-    block, and each task keeps only sums by row and group. More than ``MOST_BLOCKS`` blocks (about a million rows) are
-    refused: ``centroid_silhouette`` is for those.
+    Distances are between all rows by definition, so the work is the square of the rows. The driver reads blocks of rows
+    in rounds of ``vectors.BLOCK_NUMBERS`` numbers; workers hold one round, measure tiles of their rows against it and send only sums
+    by row and group, so no row is copied and the shuffle is a row for each row, group and round. More than ``MOST_BLOCKS`` blocks
+    (about a million rows) are refused: ``centroid_silhouette`` is for those.
     """
     n = vectors.count()
     blocks = max(1, math.ceil(n / block_rows))
     if blocks > MOST_BLOCKS:
         raise ValueError(f"{n} rows are too many for all distances; use centroid_silhouette")
-    placed = vectors.select(F.col(key).alias("k"), F.col(label).alias("l"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("b"))
-    each = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = placed.select(F.col("b").alias("i"), F.explode(each).alias("j"), F.lit(0).alias("side"), "k", "l", "v")
-    right = placed.select(F.explode(each).alias("i"), F.col("b").alias("j"), F.lit(1).alias("side"), "k", "l", "v")
-
-    def sums(frame: pd.DataFrame) -> pd.DataFrame:
-        a, b = frame[frame["side"] == 0], frame[frame["side"] == 1]
-        if not len(a) or not len(b):
-            return pd.DataFrame({"k": [], "own": [], "l": [], "total": []})
-        x, y = np.stack(a["v"]).astype(np.float64), np.stack(b["v"]).astype(np.float64)
-        out = []
-        for lab in np.unique(b["l"]):
-            z = y[(b["l"] == lab).to_numpy()]
-            total = np.zeros(len(x))
-            for c in range(0, len(z), 256):
-                total += np.sqrt(((x[:, None, :] - z[None, c : c + 256, :]) ** 2).sum(axis=2)).sum(axis=1)
-            out.append(pd.DataFrame({"k": a["k"].to_numpy(), "own": a["l"].to_numpy(), "l": lab, "total": total}))
-        return pd.concat(out)
-
+    first = vectors.select(F.size(vector)).first()
+    held = max(1, W.BLOCK_NUMBERS // (block_rows * max(1, first[0] if first else 1)))
+    placed = vectors.select(F.col(label).alias("l"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("b"))
     kinds = {f: vectors.schema[f].dataType.simpleString() for f in (key, label)}
-    parts = left.unionByName(right).groupBy("i", "j").applyInPandas(sums, f"k {kinds[key]}, own {kinds[label]}, l {kinds[label]}, total double")
+    parts = None
+    for at in range(0, blocks, held):
+        block = placed.where((F.col("b") >= at) & (F.col("b") < at + held)).select("l", "v").orderBy("l").toArrow().combine_chunks()
+        labels, starts = np.unique(np.asarray(block.column("l")), return_index=True)
+        y = np.concatenate([W.matrix(c) for c in block.column("v").chunks]) if block.num_rows else np.zeros((0, 1))
+        shared = vectors.sparkSession.sparkContext.broadcast((labels, starts, y))
+
+        def sums(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            labels, starts, y = shared.value
+            yy = (y * y).sum(axis=1)
+            for b in batches:
+                rows = W.matrix(b.column(2)) if b.num_rows and len(y) else np.zeros((0, 1))
+                for r in range(0, len(rows), TILE):
+                    x = rows[r : r + TILE]
+                    xx = (x * x).sum(axis=1)
+                    total = np.zeros((len(x), len(labels)))
+                    for c in range(0, len(y), 8 * TILE):
+                        z = y[c : c + 8 * TILE]
+                        scale = xx[:, None] + yy[None, c : c + 8 * TILE]
+                        d = x @ z.T
+                        d *= -2.0
+                        d += scale
+                        scale *= 1e-9
+                        i, k = np.nonzero(d <= scale)  # too near for a difference of squares
+                        for a in range(0, len(i), 16 * TILE):
+                            p, q = i[a : a + 16 * TILE], k[a : a + 16 * TILE]
+                            d[p, q] = ((x[p] - z[q]) ** 2).sum(axis=1)
+                        np.sqrt(d, out=d)
+                        low, high = np.searchsorted(starts, c, "right") - 1, np.searchsorted(starts, c + len(z))
+                        total[:, low:high] += np.add.reduceat(d, np.maximum(starts[low:high] - c, 0), axis=1)
+                    each, to = np.repeat(np.arange(r, r + len(x)), len(labels)), np.tile(np.arange(len(labels)), len(x))
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(pa.array(each)), b.column(1).take(pa.array(each)), pa.array(labels[to], b.schema.field(1).type), pa.array(total.reshape(-1))], names=["k", "own", "l", "total"]
+                    )
+
+        part = vectors.select(key, label, vector).mapInArrow(sums, f"k {kinds[key]}, own {kinds[label]}, l {kinds[label]}, total double")
+        parts = part if parts is None else parts.union(part)
     sizes = vectors.groupBy(F.col(label).alias("l")).agg(F.count("*").alias("n"))
-    held = F.broadcast(sizes) if sizes.count() <= BROADCAST_GROUPS else sizes
-    by = parts.groupBy("k", "own", "l").agg(F.sum("total").alias("total")).join(held, "l")
+    few = F.broadcast(sizes) if sizes.count() <= BROADCAST_GROUPS else sizes
+    by = parts.groupBy("k", "own", "l").agg(F.sum("total").alias("total")).join(few, "l")
     same = F.col("l") == F.col("own")
     score = by.groupBy("k").agg(
         F.max(F.when(same, F.when(F.col("n") > 1, F.col("total") / (F.col("n") - 1)))).alias("a"), F.min(F.when(~same, F.col("total") / F.col("n"))).alias("b")

@@ -336,3 +336,21 @@ def test_scores_in_tiles(spark, monkeypatch):
     for tile in (1024, 4):
         monkeypatch.setattr(W, "TILE", tile)
         assert sorted((r.query_id, r["rank"], r.vec_id) for r in W.batch_search(frame, q, 7).collect()) == want
+
+
+def test_silhouette_copies_no_row(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    x, y = rng.normal(size=(40, 3)) + 1000, np.arange(40) % 3
+    x[20:] = x[:20]
+    y[20:] = y[:20]
+    rows = spark.createDataFrame([(i, [float(v) for v in x[i]], int(y[i])) for i in range(40)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(W, "BLOCK_NUMBERS", 21)
+    found = V.silhouette(rows, block_rows=7)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    s = []
+    for i in range(40):
+        a = d[i][y == y[i]].sum() / ((y == y[i]).sum() - 1)
+        b = min(d[i][y == k].mean() for k in set(y) - {y[i]})
+        s.append((b - a) / max(a, b))
+    assert found.first()[0] == pytest.approx(np.mean(s), abs=1e-9)
