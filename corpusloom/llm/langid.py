@@ -20,11 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import Batches, small_batches, steady
-from corpusloom.session import written
-
-#: Bounds of training: documents of each language (expected), documents of all together, and languages, the most
-#: frequent ones. Then the number of bytes there are, and the longest context.
-SAMPLE_DOCS, ALL_DOCS, LANGUAGES, SYMBOLS, ORDER = 3000, 100_000, 500, 256, 3
+#: Languages that are learned, the most frequent ones; the number of bytes there are; the longest context.
+LANGUAGES, SYMBOLS, ORDER = 500, 256, 3
+#: Of no use since every labelled document is learned from.
+ALL_DOCS = 100_000
+#: Numbers that a task counts at once.
+COUNT_GRAMS = 1 << 20
 #: One labelled document in so many is spared from training where rejection bounds are asked for (see ``bounds``).
 SPARE = 8
 UNDETERMINED = "und"
@@ -157,53 +158,57 @@ def code_lengths(counts: np.ndarray, symbols: int, order: int) -> np.ndarray:
     return (-np.log2(np.maximum(p, 1e-12))).astype(np.float32).reshape(-1)
 
 
-def _share(draw: Column, n: Column, most: Column) -> Column:
-    """Whether a uniform long is among about ``most`` of ``n``."""
-    return (n <= most) | (F.shiftright(draw, 1).cast("double") <= -(2.0**62) + 2.0**63 * (most / n))
-
+def train(labelled: DataFrame, order: int = ORDER) -> Model:
+    """Fit a model to all rows of (``lang``, ``text``): a null language or text teaches nothing.
 
-def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -> Model:
-    """Fit a model to rows of (``lang``, ``text``, ``draw``): a null language or text teaches nothing.
-
-    At most about ``sample_docs`` documents of each language are read, and fewer where ``ALL_DOCS`` are not enough for
-    all: those whose ``draw`` (a uniform long) is low enough for the language's count. The ``LANGUAGES`` most frequent
-    labels are learned (ties by code point). The driver gets the sample's distinct (context, byte) numbers, counted by
-    language, so its memory is bounded by these three numbers.
+    The ``LANGUAGES`` most frequent labels are learned (ties by code point). The driver gets the distinct (context, byte)
+    numbers with their counts by language, so its memory grows with how many different runs of ``order`` + 1 bytes a
+    language has, not with the number of documents.
     """
     spark = labelled.sparkSession
     small_batches(spark)
     rows = labelled.where("lang is not null and text is not null")
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    sizes = {r["lang"]: r["n"] for r in counts.collect()}
-    languages = tuple(sorted(sizes))
+    languages = tuple(sorted(r["lang"] for r in counts.collect()))
     if not languages:
         return Model((), (), (), order)
-    most = min(sample_docs, max(1, ALL_DOCS // len(languages)))
-    known = F.broadcast(spark.createDataFrame(list(sizes.items()), "lang string, n long"))  # ``LANGUAGES`` rows at most
-    sample = written(rows.join(known, "lang").where(_share(F.col("draw"), F.col("n"), F.lit(most))).select("lang", "text"), "lang-sample")
+    place = {lang: i for i, lang in enumerate(languages)}
 
     @steady
     def gram_counts(batches: Batches) -> Batches:
-        totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        totals: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        waiting: dict[int, list[np.ndarray]] = {}
+        size = 0
+
+        def count() -> None:
+            for at, g in waiting.items():
+                keys, n = np.unique(np.concatenate(g), return_counts=True)
+                if at in totals:
+                    old, m = totals[at]
+                    keys, own = np.unique(np.concatenate([old, keys]), return_inverse=True)
+                    n = np.bincount(own, weights=np.concatenate([m, n])).astype(np.int64)
+                totals[at] = keys, n
+            waiting.clear()
+
         for b in batches:
-            by: dict[str, list[np.ndarray]] = {}
             for lang, t in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-                by.setdefault(lang, []).append(_grams(t.encode("utf-8", "replace"), order))
-            for lang, g in by.items():
-                keys, n = np.unique(np.concatenate(g), return_counts=True)
-                if lang in totals:
-                    old, m = totals[lang]
-                    keys, at = np.unique(np.concatenate([old, keys]), return_inverse=True)
-                    n = np.bincount(at, weights=np.concatenate([m, n])).astype(np.int64)
-                totals[lang] = keys, n
-        for lang, (keys, n) in totals.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
-
-    grams = sample.coalesce(8).mapInArrow(gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    found = grams.toArrow()
-    langs, keys, n = np.asarray(found.column("lang").to_pandas()), found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy()
+                if (at := place.get(lang)) is None:
+                    continue
+                waiting.setdefault(at, []).append(_grams(t.encode("utf-8", "replace"), order))
+                size += len(waiting[at][-1])
+                if size >= COUNT_GRAMS:
+                    count()
+                    size = 0
+        count()
+        for at, (keys, n) in totals.items():
+            for a in range(0, len(keys), 1 << 16):
+                k, m = keys[a : a + (1 << 16)], n[a : a + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), at, np.int32)), pa.array(k.view(np.int64)), pa.array(m, pa.int64())], names=["lang", "gram", "n"])
+
+    found = rows.select("lang", "text").mapInArrow(gram_counts, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    langs, keys, n = found.column("lang").to_numpy(), found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy()
     nothing = _grams(b"", order), np.zeros(0, np.int64)
-    counts = {lang: (keys[own], n[own]) if (own := langs == lang).any() else nothing for lang in languages}
+    counts = {lang: (keys[own], n[own]) if (own := langs == place[lang]).any() else nothing for lang in languages}
     return model_of(counts, order)
 
 
@@ -320,16 +325,13 @@ def fit_on(documents: DataFrame, spare: int | None = None) -> Model:
     return train(rows if spare is None else rows.where(F.pmod("draw", F.lit(spare)) != 0))
 
 
-def bounds(documents: DataFrame, model: Model, spare: int = SPARE, sample_docs: int = SAMPLE_DOCS) -> dict[str, float]:
+def bounds(documents: DataFrame, model: Model, spare: int = SPARE) -> dict[str, float]:
     """By language, the bits per byte above which a text is in none of the learned languages.
 
-    From the code lengths of labelled texts that were spared from training (about ``sample_docs`` of each language at
-    most): the median, and six times as far above it as the 99th percentile is. A language with fewer than ten such
+    From the code lengths of all labelled texts that were spared from training: the median, and six times as far above it as the 99th percentile is. A language with fewer than ten such
     texts gets the widest bound of the others, or bytes' own eight bits where there is none.
     """
     rows = _labelled(documents).where((F.pmod("draw", F.lit(spare)) == 0) & F.col("lang").isin(*model.languages))
-    n = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    rows = rows.join(F.broadcast(n), "lang").where(_share(F.xxhash64("draw"), F.col("n"), F.lit(sample_docs)))
     coded = predict(rows, model, "text", "lang", "text").where("lang = lang_pred")
     q = coded.groupBy("lang").agg(F.count("*").alias("n"), F.percentile_approx("bits", [0.5, 0.99], 1000).alias("q")).where("n >= 10").collect()
     found = {r["lang"]: min(8.0, r["q"][0] + 6 * (r["q"][1] - r["q"][0])) for r in q}

@@ -832,3 +832,14 @@ def test_joining_links_leave_the_classes_of_all_links():
         got = minhash.joining_links(tids, names, sets, 0.8)
         assert all(like >= 0.8 and ((x, y) in every or (y, x) in every) for x, y, like in got)
         assert len(got) < len(set(names)) and classes((x, y) for x, y, _ in got) == classes(every)
+
+
+def test_language_learns_from_every_document(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ALL_DOCS", 2)
+    monkeypatch.setattr(langid, "COUNT_GRAMS", 50, raising=False)
+    texts = [(f"word{i} of many", ("en", "fr")[i % 2]) for i in range(40)]
+    rows = spark.createDataFrame([(t, lang, i) for i, (t, lang) in enumerate(texts)], "text string, lang string, draw long")
+    model = langid.train(rows.repartition(3), order=2)
+    every = {lang: np.unique(np.concatenate([langid._grams(t.encode(), 2) for t, own in texts if own == lang]), return_counts=True) for lang in ("en", "fr")}
+    want = langid.model_of(every, 2)
+    assert model.languages == want.languages and all(np.array_equal(a[1], b[1]) for a, b in zip(model.seen, want.seen, strict=True))
