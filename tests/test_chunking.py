@@ -99,3 +99,15 @@ def test_tokenizers(spark):
     own = K.FileTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     r = K.tokenized(rows.where("k = 1"), "k", "t", own, 2).first()
     assert r.tokens == len(own.ids("One, two three")) and "".join(r.parts).replace(" ", "") == "One,twothree"
+
+
+def test_shares_are_rounded_as_in_the_sql(spark):
+    """Shares whose seventh digit is a five, such as 639 of 640."""
+    import duckdb
+
+    from corpusloom.plans import queries as library
+
+    pairs = [(k, n) for n in (640, 320, 192, 448, 832, 128) for k in range(1, n)]
+    rows = spark.createDataFrame(pairs, "k long, n long").select("k", "n", library._six(F.col("k") / F.col("n")).alias("x")).collect()
+    want = {(k, n): x for k, n, x in duckdb.sql("SELECT k, n, round(k / n, 6) FROM (VALUES " + ", ".join(map(str, pairs)) + ") v(k, n)").fetchall()}
+    assert all(r.x == want[r.k, r.n] for r in rows)
